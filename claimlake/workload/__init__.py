@@ -1,6 +1,6 @@
 """The driver's tables seen as claims data, the registered queries and their SQL twins."""
 
-from claimlake.workload import mart_queries  # noqa: F401
+from claimlake.workload import mart_queries, report_queries  # noqa: F401
 from claimlake.workload.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
