@@ -285,7 +285,7 @@ REASON = "concat_ws(',', " + ", ".join(f"CASE WHEN NOT {_predicate(rule, {})} TH
 
 @query("rules_kept_claims", with_raw(f"SELECT {m.CLAIM_COLUMNS} FROM raw_claims WHERE {HARD}"))
 def _(spark, folder):
-    kept, _ = q.split(typed_claims(t.raw_claims(spark, folder)), SILVER_RULES)
+    kept, _ = q.split(typed_claims(t.derived_once(t.raw_claims(spark, folder))), SILVER_RULES)
     return kept.select(*CLAIMS.columns)
 
 
@@ -294,7 +294,7 @@ def _(spark, folder):
     with_raw(f"SELECT {m.CLAIM_COLUMNS}, {REASON} AS quarantine_reason FROM raw_claims WHERE {REASON} <> ''"),
 )
 def _(spark, folder):
-    _, bad = q.split(typed_claims(t.raw_claims(spark, folder)), SILVER_RULES)
+    _, bad = q.split(typed_claims(t.derived_once(t.raw_claims(spark, folder))), SILVER_RULES)
     return bad.select(*CLAIMS.columns, "quarantine_reason")
 
 
@@ -304,7 +304,7 @@ RESCUED_SQL = """CASE WHEN bad_loss_text AND incurred IS NULL THEN '{"date_of_lo
 
 @query("rescued_claims", with_raw(f"SELECT {m.CLAIM_COLUMNS}, {RESCUED_SQL} AS _rescued_data FROM raw_claims"))
 def _(spark, folder):
-    return apply_hints(t.raw_claims(spark, folder), CLAIMS.hints).select(*CLAIMS.columns, "_rescued_data")
+    return apply_hints(t.derived_once(t.raw_claims(spark, folder)), CLAIMS.hints).select(*CLAIMS.columns, "_rescued_data")
 
 
 @query(
@@ -317,7 +317,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    bad = q.quarantine_from_raw(apply_hints(t.raw_claims(spark, folder), CLAIMS.hints), "claim_id")
+    bad = q.quarantine_from_raw(apply_hints(t.derived_once(t.raw_claims(spark, folder)), CLAIMS.hints), "claim_id")
     return bad.select("claim_id", "policy_id", "snapshot_date", "quarantine_reason")
 
 
@@ -355,7 +355,7 @@ PARSED_SQL = """messages AS (SELECT *, CASE WHEN paid % 10 = 7 THEN 'invalid_jso
     ),
 )
 def _(spark, folder):
-    parsed = parse_json(claim_messages(spark, folder), CLAIMS.typed_schema())
+    parsed = parse_json(t.derived_once(claim_messages(spark, folder)), CLAIMS.typed_schema())
     return parsed.select("_parse_error", "claim_id", "policy_id", "date_of_loss", "incurred_amount")
 
 
@@ -368,7 +368,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    parsed = parse_json(claim_messages(spark, folder), CLAIMS.typed_schema())
+    parsed = parse_json(t.derived_once(claim_messages(spark, folder)), CLAIMS.typed_schema())
     return q.message_quarantine(parsed, "claim_id").groupBy("quarantine_reason").agg(F.count(F.lit(1)).alias("rows"))
 
 

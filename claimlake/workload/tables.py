@@ -8,8 +8,11 @@ Everything grows with the tables, and the audit columns are derived from the dat
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlake.operators.latest import claims_current, unique_zones
 from claimlake.operators.projection import typed_claims, typed_events, typed_premiums, typed_zones
@@ -17,128 +20,122 @@ from claimlake.operators.quality import claims_quality, events_quality, premiums
 from claimlake.schemas import BUILDING_TYPES, PERIL_TYPES, RISK_BANDS
 
 
-def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
-
-
-def _pick(index: Column, values: tuple[str, ...]) -> Column:
-    """values[index] for an index known to be in range."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
-
-
-def _money(value: Column) -> Column:
-    return value.cast("decimal(18,2)")
-
-
-def _null_when(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
-def _every(key: str, step: int) -> Column:
-    return F.col(key) % step == 0
+@lru_cache(maxsize=256)
+def _described(path: str) -> tuple[T.StructType, int]:
+    """Schema and number of splits of a table, looked up once."""
+    df = SparkSession.getActiveSession().read.parquet(path)
+    return df.schema, df.rdd.getNumPartitions()
 
 
-def claim_rows(lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Raw claim snapshots from order lines and their orders."""
-    shipped = F.to_date("l_shipdate")
-    price = _money(F.col("l_extendedprice"))
-    paid = _money(price * F.round(F.col("l_discount") * 100).cast("int") * F.lit("0.11").cast("decimal(2,2)"))
-    status = F.when(_every("l_partkey", 113), "Unknown").otherwise(
-        F.when(F.col("o_orderstatus") == "O", "Open").when(F.col("o_orderstatus") == "F", "Closed").otherwise("Reopened")
-    )
-    amount = (
-        F.when(_every("l_partkey", 83), "N/A")
-        .when(_every("l_partkey", 79), F.concat(F.lit("-"), price.cast("string")))
-        .otherwise(price.cast("string"))
-    )
-    joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return joined.select(
-        _null_when(_every("l_partkey", 107), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("claim_id"),
-        F.when(_every("l_partkey", 97), None)
-        .when(_every("l_partkey", 103), " ")
-        .otherwise(F.col("o_custkey").cast("string"))
-        .alias("policy_id"),
-        _null_when(F.col("l_returnflag") == "N", F.concat(F.lit("CYC-"), F.col("l_suppkey"))).alias("event_id"),
-        F.when(_every("l_partkey", 89), "not-a-date")
-        .otherwise(F.to_date("o_orderdate").cast("string"))
-        .alias("date_of_loss"),
-        shipped.cast("string").alias("reported_date"),
-        _null_when(_every("l_partkey", 101), _pick(F.col("l_linenumber") % 3, PERIL_TYPES)).alias("peril_type"),
-        status.alias("claim_status"),
-        amount.alias("incurred_amount"),
-        paid.cast("string").alias("paid_to_date"),
-        F.date_add(shipped, F.col("l_quantity").cast("int")).cast("string").alias("snapshot_date"),
-        shipped.cast("timestamp").alias("ingestion_timestamp"),
-        F.concat(F.lit("claims-"), F.year(shipped), F.lit(".csv")).alias("source_file_name"),
-    )
+def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    path = f"{folder}/{table}.parquet"
+    return spark.read.schema(_described(path)[0]).parquet(path)
+
+
+def spread(df: DataFrame, folder: str, table: str, key: str) -> DataFrame:
+    """Use all cores for a table of fewer splits than cores, such as a single small file.
+
+    Large tables come in enough splits and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if _described(f"{folder}/{table}.parquet")[1] >= cores else df.repartition(cores, key)
+
+
+def derived_once(df: DataFrame) -> DataFrame:
+    """The same rows, with their derived columns computed once.
+
+    Filters are pushed below a projection by repeating its expressions, here long derivations of text;
+    a generator is a border they do not cross. Bronze read from files has no such derivations.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
+def _listed(values: tuple[str, ...]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+
+
+def _day(start: str, offset: str) -> str:
+    return f"date_add(DATE '{start}', CAST({offset} AS INT))"
+
+
+PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+CLAIM_TEXT = [
+    "CASE WHEN l_partkey % 107 <> 0 THEN concat_ws('-', l_orderkey, l_linenumber) END AS claim_id",
+    "CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 103 = 0 THEN ' ' ELSE CAST(o_custkey AS STRING) END AS policy_id",
+    "CASE WHEN l_returnflag <> 'N' THEN concat('CYC-', l_suppkey) END AS event_id",
+    "CASE WHEN l_partkey % 89 = 0 THEN 'not-a-date' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS date_of_loss",
+    "CAST(CAST(l_shipdate AS DATE) AS STRING) AS reported_date",
+    f"CASE WHEN l_partkey % 101 <> 0 THEN element_at({_listed(PERIL_TYPES)}, CAST(l_linenumber % 3 AS INT) + 1) END AS peril_type",
+    """CASE WHEN l_partkey % 113 = 0 THEN 'Unknown' WHEN o_orderstatus = 'O' THEN 'Open' WHEN o_orderstatus = 'F' THEN 'Closed'
+    ELSE 'Reopened' END AS claim_status""",
+    f"""CASE WHEN l_partkey % 83 = 0 THEN 'N/A' WHEN l_partkey % 79 = 0 THEN concat('-', {PRICE})
+    ELSE CAST({PRICE} AS STRING) END AS incurred_amount""",
+    f"CAST(CAST({PRICE} * CAST(round(l_discount * 100) AS INT) * 0.11BD AS DECIMAL(18,2)) AS STRING) AS paid_to_date",
+    "CAST(date_add(CAST(l_shipdate AS DATE), CAST(l_quantity AS INT)) AS STRING) AS snapshot_date",
+    "CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP) AS ingestion_timestamp",
+    "concat('claims-', year(l_shipdate), '.csv') AS source_file_name",
+]
+
+START = _day("1994-01-01", "c_custkey % 900")
+PREMIUM_TEXT = [
+    "CAST(c_custkey AS STRING) AS policy_id",
+    "c_mktsegment AS insurer_name",
+    "CASE WHEN c_custkey % 37 = 0 THEN '9999' WHEN c_custkey % 43 = 0 THEN 'n/a' ELSE lpad(CAST(c_nationkey AS STRING), 4, '0') END AS postcode",
+    "n_name AS region_name",
+    f"element_at({_listed(RISK_BANDS)}, CAST(n_regionkey % 4 AS INT) + 1) AS wind_risk_band",
+    f"element_at({_listed(BUILDING_TYPES)}, CAST(c_custkey % 3 AS INT) + 1) AS building_type",
+    "CAST(CAST(CAST(c_acctbal AS DECIMAL(18,2)) * 100 AS DECIMAL(18,2)) AS STRING) AS sum_insured",
+    "CASE WHEN c_custkey % 2 = 0 THEN 'None' ELSE 'Shutters Installed' END AS mitigation_flag",
+    "CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS STRING) AS annual_premium",
+    f"CAST({START} AS STRING) AS policy_start_date",
+    f"CAST(date_add({START}, CASE WHEN c_custkey % 59 = 0 THEN 0 ELSE 365 END) AS STRING) AS policy_end_date",
+    f"CAST({_day('2024-01-01', 'c_custkey % 30')} AS TIMESTAMP) AS ingestion_timestamp",
+    "concat('premiums-', c_custkey % 4, '.csv') AS source_file_name",
+]
+
+ZONE_TEXT = [
+    "CASE WHEN s_suppkey % 31 <> 0 THEN lpad(CAST(s_nationkey AS STRING), 4, '0') END AS postcode",
+    "CASE WHEN s_suppkey % 47 <> 0 THEN concat('Region-', s_suppkey % 3) END AS region_name",
+    f"CASE WHEN s_suppkey % 53 = 0 THEN 'HIGH' ELSE element_at({_listed(RISK_BANDS)}, CAST(s_suppkey % 4 AS INT) + 1) END AS wind_risk_band",
+    f"CAST({_day('2024-02-01', 's_suppkey % 10')} AS TIMESTAMP) AS ingestion_timestamp",
+    "concat('zones-', s_suppkey % 2, '.csv') AS source_file_name",
+]
+
+EVENT_START = _day("1995-01-01", "s_suppkey * 37 % 2000")
+EVENT_TEXT = [
+    "CASE WHEN s_suppkey % 43 <> 0 THEN concat('CYC-', s_suppkey) END AS event_id",
+    "CASE WHEN s_suppkey % 23 <> 0 THEN concat('Cyclone ', s_suppkey) END AS event_name",
+    f"""CASE WHEN s_suppkey % 29 = 0 THEN 'not-a-date' WHEN s_suppkey % 3 = 0 THEN date_format({EVENT_START}, 'yyyy/MM/dd')
+    WHEN s_suppkey % 3 = 1 THEN date_format({EVENT_START}, 'yyyy-MM-dd') ELSE date_format({EVENT_START}, 'MM/dd/yyyy') END AS start_date""",
+    f"CAST(date_add({EVENT_START}, CAST(s_suppkey % 7 AS INT) - 1) AS STRING) AS end_date",
+    f"CAST({_day('2024-03-01', 's_suppkey % 20')} AS TIMESTAMP) AS ingestion_timestamp",
+    "concat('events-', s_suppkey % 2, '.csv') AS source_file_name",
+]
 
 
 def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw claim snapshots: order lines with their orders."""
     lines = read(spark, folder, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
         "l_shipdate", "l_quantity", "l_extendedprice", "l_discount",
     )
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    return claim_rows(lines, orders)
+    lines = spread(lines, folder, "lineitem", "l_orderkey")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(*CLAIM_TEXT)
 
 
 def raw_premiums(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("c_custkey")
-    start = F.date_add(F.lit("1994-01-01").cast("date"), (key % 900).cast("int"))
-    balance = _money(F.col("c_acctbal"))
-    postcode = (
-        F.when(_every("c_custkey", 37), "9999")
-        .when(_every("c_custkey", 43), "n/a")
-        .otherwise(F.lpad(F.col("c_nationkey").cast("string"), 4, "0"))
-    )
-    customers = read(spark, folder, "customer").filter(~_every("c_custkey", 50))
+    customers = read(spark, folder, "customer").filter("c_custkey % 50 <> 0")
     nations = read(spark, folder, "nation")
-    return customers.join(nations, customers.c_nationkey == nations.n_nationkey).select(
-        key.cast("string").alias("policy_id"),
-        F.col("c_mktsegment").alias("insurer_name"),
-        postcode.alias("postcode"),
-        F.col("n_name").alias("region_name"),
-        _pick(F.col("n_regionkey") % 4, RISK_BANDS).alias("wind_risk_band"),
-        _pick(key % 3, BUILDING_TYPES).alias("building_type"),
-        _money(balance * 100).cast("string").alias("sum_insured"),
-        F.when(_every("c_custkey", 2), "None").otherwise("Shutters Installed").alias("mitigation_flag"),
-        balance.cast("string").alias("annual_premium"),
-        start.cast("string").alias("policy_start_date"),
-        F.date_add(start, F.when(_every("c_custkey", 59), 0).otherwise(365)).cast("string").alias("policy_end_date"),
-        F.date_add(F.lit("2024-01-01").cast("date"), (key % 30).cast("int")).cast("timestamp").alias("ingestion_timestamp"),
-        F.concat(F.lit("premiums-"), key % 4, F.lit(".csv")).alias("source_file_name"),
-    )
+    return customers.join(nations, customers.c_nationkey == nations.n_nationkey).selectExpr(*PREMIUM_TEXT)
 
 
 def raw_zones(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    return read(spark, folder, "supplier").select(
-        _null_when(_every("s_suppkey", 31), F.lpad(F.col("s_nationkey").cast("string"), 4, "0")).alias("postcode"),
-        _null_when(_every("s_suppkey", 47), F.concat(F.lit("Region-"), key % 3)).alias("region_name"),
-        F.when(_every("s_suppkey", 53), "HIGH").otherwise(_pick(key % 4, RISK_BANDS)).alias("wind_risk_band"),
-        F.date_add(F.lit("2024-02-01").cast("date"), (key % 10).cast("int")).cast("timestamp").alias("ingestion_timestamp"),
-        F.concat(F.lit("zones-"), key % 2, F.lit(".csv")).alias("source_file_name"),
-    )
+    return read(spark, folder, "supplier").selectExpr(*ZONE_TEXT)
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    start = F.date_add(F.lit("1995-01-01").cast("date"), (key * 37 % 2000).cast("int"))
-    end = F.date_add(start, (key % 7).cast("int") - 1)
-    spelled = (
-        F.when(_every("s_suppkey", 29), "not-a-date")
-        .when(_every("s_suppkey", 3), F.date_format(start, "yyyy/MM/dd"))
-        .when(key % 3 == 1, F.date_format(start, "yyyy-MM-dd"))
-        .otherwise(F.date_format(start, "MM/dd/yyyy"))
-    )
-    return read(spark, folder, "supplier").filter(~_every("s_suppkey", 25)).select(
-        _null_when(_every("s_suppkey", 43), F.concat(F.lit("CYC-"), key)).alias("event_id"),
-        _null_when(_every("s_suppkey", 23), F.concat(F.lit("Cyclone "), key)).alias("event_name"),
-        spelled.alias("start_date"),
-        end.cast("string").alias("end_date"),
-        F.date_add(F.lit("2024-03-01").cast("date"), (key % 20).cast("int")).cast("timestamp").alias("ingestion_timestamp"),
-        F.concat(F.lit("events-"), key % 2, F.lit(".csv")).alias("source_file_name"),
-    )
+    return read(spark, folder, "supplier").filter("s_suppkey % 25 <> 0").selectExpr(*EVENT_TEXT)
 
 
 RAW = {
@@ -150,7 +147,7 @@ RAW = {
 
 
 def silver_claims(spark: SparkSession, folder: str) -> DataFrame:
-    return claims_quality(typed_claims(raw_claims(spark, folder)))
+    return claims_quality(typed_claims(derived_once(raw_claims(spark, folder))))
 
 
 def current_claims(spark: SparkSession, folder: str) -> DataFrame:
@@ -158,7 +155,7 @@ def current_claims(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_premiums(spark: SparkSession, folder: str) -> DataFrame:
-    return premiums_quality(typed_premiums(raw_premiums(spark, folder)))
+    return premiums_quality(typed_premiums(derived_once(raw_premiums(spark, folder))))
 
 
 def silver_zones(spark: SparkSession, folder: str) -> DataFrame:
