@@ -86,8 +86,11 @@ def holdout_split(features: DataFrame, share: float = 0.2, seed: int = 42) -> tu
     return features.filter(~held), features.filter(held)
 
 
-def severity_pipeline(trees: int = 100, seed: int = 42, depth: int = 8) -> Pipeline:
-    """One-hot categories (unseen ones allowed), numbers as they are, a random forest on top."""
+def severity_pipeline(trees: int = 100, seed: int = 42, depth: int = 12) -> Pipeline:
+    """One-hot categories (unseen ones allowed), numbers as they are, a random forest over all features.
+
+    ``depth`` bounds the trees, and with them the model's size, whatever the number of rows.
+    """
     indexed = [f"{c}_index" for c in CATEGORICAL]
     encoded = [f"{c}_onehot" for c in CATEGORICAL]
     return Pipeline(
@@ -96,7 +99,8 @@ def severity_pipeline(trees: int = 100, seed: int = 42, depth: int = 8) -> Pipel
             OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=True),
             VectorAssembler(inputCols=[*NUMERIC, *encoded], outputCol="features"),
             RandomForestRegressor(
-                featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, numTrees=trees, seed=seed, maxDepth=depth
+                featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, numTrees=trees, seed=seed, maxDepth=depth,
+                featureSubsetStrategy="all",
             ),
         ]
     )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from claimlake.sources.csv import read_csv_with_audit
 from claimlake.sources.landing import list_csv_files
 
-SUMMARY = T.StructType.fromDDL("table string, source string, rows bigint, cols array<string>")
+SUMMARY = "table string, source string, rows bigint, cols array<string>"
 
 
 def bronze_table_name(file_name: str) -> str:

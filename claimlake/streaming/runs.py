@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from claimlake.operators.quality import clean_from_raw, quarantine_from_raw
+from claimlake.operators.eventlog import RunLog, expectation_entries
+from claimlake.operators.quality import DROP, Rule, clean_from_raw, quarantine_from_raw
 from claimlake.sinks.upsert import Upsert, upsert
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -72,3 +73,16 @@ def split_stream(
         append_to_folder(clean_from_raw(raw, key), clean, f"{checkpoint}/clean", trigger=trigger),
         append_to_folder(bad, quarantine, f"{checkpoint}/quarantine", trigger=trigger),
     )
+
+
+def log_progress(query: StreamingQuery, log: RunLog, flow: str, rules: Sequence[Rule], observation: str) -> None:
+    """One log entry per micro-batch of a stream whose rules were observed under ``observation``."""
+    for progress in query.recentProgress:
+        observed = progress.observedMetrics.get(observation)
+        if observed is None:
+            continue
+        entries = expectation_entries(flow, rules, observed.asDict())
+        hard = {rule.name for rule in rules if rule.action == DROP}
+        dropped = max((e["failed_records"] for e in entries if e["name"] in hard), default=0)
+        log.flow(flow, "RUNNING", rows=progress.numInputRows - dropped, dropped=dropped, expectations=entries)
+    log.flow(flow, "COMPLETED")

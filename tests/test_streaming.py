@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from claimlake.schemas import CLAIMS, RISK_ZONES
 from claimlake.sinks.upsert import Upsert, latest_state, read_state, upsert
 from claimlake.sources.csv import stream_csv
-from claimlake.sources.tables import stream_folder, stream_table
+from claimlake.operators import eventlog, quality
+from claimlake.sources.tables import read_table, stream_changes, stream_folder, stream_table
 from claimlake.streaming import evolving, runs
 from claimlake.streaming.refresh import Versions
 
@@ -189,3 +190,30 @@ def test_continuous_run_is_stopped_by_the_caller(spark, tmp_path):
     assert query.isActive
     query.stop()
     assert spark.read.parquet(out).count() == 1
+
+
+def test_rules_are_counted_inside_a_stream(spark, tmp_path):
+    source, log_path = str(tmp_path / "in"), str(tmp_path / "log")
+    rules = [quality.required("k"), quality.Rule("positive", "v > 0")]
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", -1)], "k string, v int")
+    df.write.parquet(source)
+    kept = quality.expect(stream_folder(spark, source, df.schema), rules, "rules")
+    query = runs.finish(runs.append_to_folder(kept, str(tmp_path / "out"), str(tmp_path / "c")))
+    log = eventlog.RunLog(spark, log_path, "p", "claims")
+    runs.log_progress(query, log, "bronze_claims", rules, "rules")
+    log.finish("COMPLETED")
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    found = eventlog.expectation_metrics(eventlog.read_log(spark, log_path)).collect()
+    assert {(r.dataset, r.expectation): (r.passing_records, r.failing_records) for r in found} == {
+        ("bronze_claims", "k_not_null"): (2, 1), ("bronze_claims", "positive"): (2, 1),
+    }
+    assert eventlog.flow_metrics(eventlog.read_log(spark, log_path)).first().total_output_records == 2
+
+
+def test_change_feed_is_the_appended_rows(spark, tmp_path, database):
+    source = str(tmp_path / "bronze")
+    rows = spark.createDataFrame([("C1", "10.50"), ("C2", "x")], "claim_id string, incurred_amount string")
+    rows.write.parquet(source)
+    feed = stream_changes(spark, source, rows.schema, ["claim_id", "try_cast(incurred_amount AS DECIMAL(18,2)) AS amount"])
+    runs.finish(runs.append_to_table(feed, f"{database}.silver", str(tmp_path / "c")))
+    assert {r.claim_id: r.amount for r in read_table(spark, f"{database}.silver").collect()}["C2"] is None
