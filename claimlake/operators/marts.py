@@ -23,36 +23,38 @@ RISK_KEYS = ("insurer_name", "region_name", "wind_risk_band", "building_type", "
 NO_EVENT = "Non-Catastrophe"
 
 
-def claim_subtotals(claims: DataFrame, keys: Sequence[str | Column], distinct: bool = False) -> DataFrame:
-    """Additive claim measures per key; with ``distinct`` the claim id joins the key to be counted later."""
-    incurred, paid = F.col("incurred_amount"), F.col("paid_to_date")
+SUBTOTALS = {
+    "n_rows": "count(1)",
+    "n_claims": "count(claim_id)",
+    "n_incurred": "count(incurred_amount)",
+    "incurred": "sum(incurred_amount)",
+    "paid": "sum(paid_to_date)",
+    "reserve": "sum(incurred_amount - paid_to_date)",
+    "max_incurred": "max(incurred_amount)",
+    "n_lags": "count(datediff(reported_date, date_of_loss))",
+    "lag_days": "sum(datediff(reported_date, date_of_loss))",
+    "max_lag": "max(datediff(reported_date, date_of_loss))",
+    "n_open": "count_if(claim_status = 'Open')",
+    "n_closed": "count_if(claim_status = 'Closed')",
+    "n_reopened": "count_if(claim_status = 'Reopened')",
+}
+MAXIMA = ("max_incurred", "max_lag")
+
+
+def claim_subtotals(claims: DataFrame, keys: Sequence[str], distinct: bool = False) -> DataFrame:
+    """Additive claim measures per key; with ``distinct`` the claim id joins the key to be counted later.
+
+    A mart uses a few of them; the optimizer prunes the rest.
+    """
     keys = [*keys, "claim_id"] if distinct else list(keys)
-    lag = F.datediff("reported_date", "date_of_loss")
-    return claims.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count("claim_id").alias("n_claims"),
-        F.count("incurred_amount").alias("n_incurred"),
-        F.sum(incurred).alias("incurred"),
-        F.sum(paid).alias("paid"),
-        F.sum(incurred - paid).alias("reserve"),
-        F.max(incurred).alias("max_incurred"),
-        F.count(lag).alias("n_lags"),
-        F.sum(lag).alias("lag_days"),
-        F.max(lag).alias("max_lag"),
-        *[F.count_if(F.col("claim_status") == s).alias(f"n_{s.lower()}") for s in ("Open", "Closed", "Reopened")],
-    )
+    return claims.groupBy(*keys).agg(*[F.expr(f"{measure} AS {name}") for name, measure in SUBTOTALS.items()])
 
 
 def _merge_subtotals(subtotals: DataFrame, keys: Sequence[str], distinct: bool) -> DataFrame:
     """Add sub-totals up to coarser keys, leaving them sub-totals."""
-    maxima = ("max_incurred", "max_lag")
-    skip = {"claim_id", *keys}
-    measures = [
-        (F.max(name) if name in maxima else F.sum(name)).alias(name)
-        for name, kind in subtotals.dtypes
-        if name not in skip and (name in maxima or name.startswith("n_") or name in ("incurred", "paid", "reserve", "lag_days"))
-    ]
-    return subtotals.groupBy(*keys, *(["claim_id"] if distinct else [])).agg(*measures)
+    keys = [*keys, "claim_id"] if distinct else list(keys)
+    adders = [F.expr(f"{'max' if name in MAXIMA else 'sum'}({name}) AS {name}") for name in SUBTOTALS]
+    return subtotals.groupBy(*keys).agg(*adders)
 
 
 def _claim_count(distinct: bool) -> Column:
@@ -287,12 +289,8 @@ def portfolio_exposure(
 
 def claims_development(claims: DataFrame, policies: DataFrame, *, distinct: bool = False) -> DataFrame:
     """Reporting lag, reserve and payment progress by peril, place and the months of loss and report."""
-    dated = claims.withColumns(
-        {
-            "loss_month": F.date_trunc("month", F.col("date_of_loss")),
-            "reported_month": F.date_trunc("month", F.col("reported_date")),
-        }
-    )
+    months = {"loss_month": "date_of_loss", "reported_month": "reported_date"}
+    dated = claims.withColumns({name: F.date_trunc("month", F.col(day)) for name, day in months.items()})
     by_policy = claim_subtotals(dated, ["policy_id", "peril_type", "loss_month", "reported_month"], distinct)
     joined = _with_policy(by_policy, policies, ["region_name", "wind_risk_band"])
     return joined.groupBy("peril_type", "region_name", "wind_risk_band", "loss_month", "reported_month").agg(

@@ -88,6 +88,37 @@ def split(df: DataFrame, rules: Sequence[Rule], clock: Column | None = None) ->
     return drop_failing(df, rules), quarantined
 
 
+CLEAN, SOFT, HARD = "clean", "soft", "hard"
+VERDICT = "_verdict"
+
+
+def judge(df: DataFrame, rules: Sequence[Rule], clock: Column | None = None) -> DataFrame:
+    """Every row with its verdict (clean, soft or hard), its reasons and, if any, the time it was judged.
+
+    Written once and partitioned by the verdict, this is both the table (all but hard) and its quarantine
+    (all but clean): the input is read once and rows failing only soft rules are stored once.
+    """
+    hard = ~all_pass(rule for rule in rules if rule.action == DROP)
+    reasons = failed_names(rules)
+    return df.withColumns(
+        {
+            "quarantine_reason": F.nullif(reasons, F.lit("")),
+            "_quarantine_ts": F.when(reasons != "", now_or(clock)),
+            VERDICT: F.when(hard, HARD).when(reasons != "", SOFT).otherwise(CLEAN),
+        }
+    )
+
+
+def kept_of(judged: DataFrame) -> DataFrame:
+    """The table: rows without a hard failure, as they came."""
+    return judged.filter(F.col(VERDICT) != HARD).drop("quarantine_reason", "_quarantine_ts", VERDICT)
+
+
+def quarantine_of(judged: DataFrame) -> DataFrame:
+    """The quarantine: rows failing any rule, with reason and time."""
+    return judged.filter(F.col(VERDICT) != CLEAN).drop(VERDICT)
+
+
 def rule_counts(rules: Sequence[Rule]) -> list[Column]:
     """Passed and failed counters of every rule, aligned for one aggregate."""
     return [

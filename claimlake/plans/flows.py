@@ -21,18 +21,22 @@ from claimlake.operators.projection import select_expressions, substitute
 from claimlake.sinks.upsert import Upsert, upsert
 from claimlake.streaming.runs import AVAILABLE_NOW, finish
 
+BATCH = "_flow_batch"
+
 
 @dataclass(frozen=True)
 class FlowSpec:
     """One table of a medallion and how it is made.
 
-    ``source`` is a folder of CSV or Parquet files, or ``sql`` a query over tables of the run. ``keys``
-    with ``sequence`` make the target a type-1 table. ``mode`` is ``batch`` or ``stream``.
+    The input is a ``source`` folder of CSV or Parquet files, a ``table`` written before in the same run, or
+    a ``sql`` query over such tables. ``keys`` with ``sequence`` make the target a type-1 table. ``mode`` is
+    ``batch`` or ``stream``.
     """
 
     name: str
     layer: str = "bronze"
     source: str = ""
+    table: str = ""
     source_format: str = "csv"
     schema: str = ""
     select: tuple[str, ...] = ()
@@ -47,15 +51,20 @@ class FlowSpec:
     except_columns: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
-        if bool(self.source) == bool(self.sql):
-            raise ValueError(f"{self.name}: give either a source or a query")
+        if [bool(self.source), bool(self.table), bool(self.sql)].count(True) != 1:
+            raise ValueError(f"{self.name}: give one of source, table and sql")
         if bool(self.keys) != bool(self.sequence):
             raise ValueError(f"{self.name}: keys and sequence belong together")
         if self.mode not in ("batch", "stream") or (self.mode == "stream" and self.sql):
             raise ValueError(f"{self.name}: mode {self.mode!r} does not fit")
-        if self.mode == "stream" and not self.schema and self.source_format != "parquet":
+        if self.mode == "stream" and self.source and not self.schema and self.source_format != "parquet":
             raise ValueError(f"{self.name}: a stream needs a schema")
 
+    @property
+    def view(self) -> str:
+        """The name queries and later flows know the table by."""
+        return f"{self.layer}_{self.name}"
+
     @staticmethod
     def from_mapping(values: Mapping, tokens: Mapping[str, str] | None = None) -> FlowSpec:
         """A specification from plain data; ``{token}`` placeholders are filled in every text."""
@@ -94,8 +103,8 @@ def load_specs(text: str, tokens: Mapping[str, str] | None = None) -> list[FlowS
 class FlowRunner:
     """Runs specifications in their order below one root folder, which all executors must reach.
 
-    A table named ``t`` lies at ``<root>/<layer>/t`` and its quarantine at ``<root>/<layer>/t_quarantine``.
-    Finished tables are visible to later queries as ``<layer>_t``.
+    A table ``t`` lies at ``<root>/<layer>/t`` and is known as ``<layer>_t``. Its quarantine is part of its
+    folder, or lies beside it when the table is type-1.
     """
 
     spark: SparkSession
@@ -118,11 +127,14 @@ class FlowRunner:
         return self.written
 
     def read(self, name: str) -> DataFrame:
-        """A written table, or its quarantine by ``<name>_quarantine``."""
+        """A written table by its view name, or its quarantine by ``<view>_quarantine``."""
         base = name.removesuffix("_quarantine") if name not in self.written else name
-        spec = self.written[base]
-        df = self.spark.read.option("mergeSchema", True).parquet(self.path(spec, name[len(base):]))
-        return df.drop("_part", "_flow_batch", *spec.except_columns)
+        spec, quarantine = self.written[base], name != base
+        suffix = "_quarantine" if quarantine and spec.keys else ""
+        df = self.spark.read.option("mergeSchema", True).parquet(self.path(spec, suffix))
+        if spec.rules and (quarantine or not spec.keys):
+            df = q.quarantine_of(df) if quarantine else q.kept_of(df)
+        return df.drop("_part", BATCH, *spec.except_columns)
 
     def _run_one(self, spec: FlowSpec) -> None:
         counts: dict[str, int] = {}
@@ -133,9 +145,9 @@ class FlowRunner:
         else:
             # A growing number, so that no later run passes for a replay of an earlier one.
             counts = self._write(spec, self._batch_source(spec), time.time_ns())
-        self.written[spec.name] = spec
+        self.written[spec.view] = spec
         try:
-            self.read(spec.name).createOrReplaceTempView(f"{spec.layer}_{spec.name}")
+            self.read(spec.view).createOrReplaceTempView(spec.view)
         except AnalysisException:
             pass
         if self.log:
@@ -146,15 +158,15 @@ class FlowRunner:
     def _batch_source(self, spec: FlowSpec) -> DataFrame:
         if spec.sql:
             df = self.spark.sql(spec.sql)
+        elif spec.table:
+            df = self.read(spec.table)
         else:
             reader = self.spark.read.format(spec.source_format).option("header", True)
             df = (reader.schema(spec.schema) if spec.schema else reader).load(spec.source)
         return select_expressions(df, spec.select) if spec.select else df
 
     def _stream(self, spec: FlowSpec) -> dict[str, int]:
-        reader = self.spark.readStream.format(spec.source_format).option("header", True)
-        schema = spec.schema or self.spark.read.format(spec.source_format).load(spec.source).schema
-        stream = reader.schema(schema).load(spec.source)
+        stream = self._stream_table(self.written[spec.table]) if spec.table else self._stream_files(spec)
         if spec.select:
             stream = select_expressions(stream, spec.select)
         totals: dict[str, int] = {}
@@ -167,24 +179,48 @@ class FlowRunner:
         finish(query.trigger(**AVAILABLE_NOW).start())
         return totals
 
+    def _stream_files(self, spec: FlowSpec) -> DataFrame:
+        reader = self.spark.readStream.format(spec.source_format).option("header", True)
+        schema = spec.schema or self.spark.read.format(spec.source_format).load(spec.source).schema
+        return reader.schema(schema).load(spec.source)
+
+    def _stream_table(self, source: FlowSpec) -> DataFrame:
+        """New kept rows of an append-only table of the run."""
+        if source.keys:
+            raise ValueError(f"{source.name}: a type-1 table is rewritten and cannot be streamed")
+        schema = self.spark.read.parquet(self.path(source)).schema
+        rows = self.spark.readStream.schema(schema).parquet(self.path(source))
+        return (q.kept_of(rows) if source.rules else rows).drop(BATCH)
+
     def _write(self, spec: FlowSpec, df: DataFrame, batch_id: int) -> dict[str, int]:
-        """Write the kept rows and the quarantine; the counters come from the write itself."""
+        """Write rows and verdicts in one pass over the input; the counters come from the write itself.
+
+        A type-1 table takes its kept rows from the judged batch, which is held for the second write.
+        """
         seen = Observation()
         counters = [F.count(F.lit(1)).alias("rows"), F.count_if(q.all_pass(r for r in spec.rules if r.action == q.DROP)).alias("kept")]
         observed = df.observe(seen, *counters, *q.rule_counts(spec.rules))
-        kept = q.drop_failing(observed, spec.rules)
+        judged = q.judge(observed, spec.rules) if spec.rules else observed
         layout = spec.upsert_spec()
-        if layout:
-            upsert(kept, self.path(spec), layout, batch_id)
-        else:
-            self._replace(kept, self.path(spec), spec, batch_id)
-        if spec.rules and spec.quarantine:
-            _, bad = q.split(df, spec.rules)
-            self._replace(bad, self.path(spec, "_quarantine"), spec, batch_id)
-        return seen.get
+        if layout is None:
+            self._replace(judged, self.path(spec), spec, batch_id)
+            return seen.get
+        if not spec.rules:
+            upsert(judged, self.path(spec), layout, batch_id)
+            return seen.get
+        judged = judged.persist()
+        try:
+            upsert(q.kept_of(judged), self.path(spec), layout, batch_id)
+            if spec.quarantine:
+                bad = judged.filter(F.col(q.VERDICT) != q.CLEAN)
+                self._replace(bad, self.path(spec, "_quarantine"), spec, batch_id)
+            return seen.get
+        finally:
+            judged.unpersist()
 
     def _replace(self, df: DataFrame, path: str, spec: FlowSpec, batch_id: int) -> None:
         """Replace the whole table in batch mode, only the batch's own partition in stream mode."""
-        writer = df.withColumn("_flow_batch", F.lit(batch_id)).write.mode("overwrite").partitionBy("_flow_batch")
+        parts = [BATCH, *([q.VERDICT] if q.VERDICT in df.columns else [])]
         overwrite = "dynamic" if spec.mode == "stream" else "static"
+        writer = df.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").partitionBy(*parts)
         writer.option("partitionOverwriteMode", overwrite).parquet(path)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from claimlake.operators import marts, rulesets
 from claimlake.operators.latest import claims_current, unique_zones
 from claimlake.operators.monitor import Listed, inventory
 from claimlake.operators.projection import stamp, typed_claims, typed_events, typed_premiums, typed_zones
-from claimlake.operators.quality import Rule, claims_quality, events_quality, premiums_quality, split
+from claimlake.operators.quality import (
+    VERDICT, Rule, claims_quality, events_quality, judge, kept_of, premiums_quality, quarantine_of,
+)
 from claimlake.schemas import BATCH_AUDIT, ENTITIES, AuditColumns
 
 
@@ -52,27 +55,35 @@ def gold_tables(
 
 
 class TableFolders:
-    """Parquet tables below one folder, each written once per run and then read back."""
+    """Parquet tables below one folder, each written once per run and then read back.
+
+    A table written with rules lies there judged: its kept rows and its quarantine are partitions of it.
+    """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
         self.names: list[str] = []
+        self._judged: set[str] = set()
 
-    def write(self, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    def write(self, name: str, df: DataFrame, rules: Sequence[Rule] = (), clock: Column | None = None) -> DataFrame:
+        writer = (judge(df, rules, clock) if rules else df).write.mode("overwrite")
+        if rules:
+            writer = writer.partitionBy(VERDICT)
+            self._judged.add(name)
+            self.names.append(f"{name}_quarantine")
+        writer.option("partitionOverwriteMode", "static").parquet(f"{self.root}/{name}")
         self.names.append(name)
         return self.read(name)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
-
-
-def with_quarantine(folders: TableFolders, name: str, df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Write a table split by its rules, with its quarantine beside it."""
-    kept, bad = split(df, rules)
-    folders.write(f"{name}_quarantine", bad)
-    return folders.write(name, kept)
+        """A table, or its quarantine by ``<name>_quarantine``."""
+        base = name.removesuffix("_quarantine")
+        if base not in self._judged:
+            return self.spark.read.parquet(f"{self.root}/{name}")
+        judged = self.spark.read.parquet(f"{self.root}/{base}")
+        if VERDICT not in judged.columns:
+            judged = judged.withColumn(VERDICT, F.lit(None).cast("string"))
+        return kept_of(judged) if name == base else quarantine_of(judged)
 
 
 def run_batch(
@@ -86,7 +97,7 @@ def run_batch(
     stored = {}
     for name, df in bronze.items():
         table = ENTITIES[name].table
-        stored[name] = with_quarantine(folders, f"bronze_{table}", df, rulesets.BRONZE[table])
+        stored[name] = folders.write(f"bronze_{table}", df, rulesets.BRONZE[table], clock)
     silver = {name: folders.write(name, df) for name, df in silver_tables(stored, clock=clock).items()}
     snapshots = silver["silver_claims_bordereau"]
     silver["silver_claims_current"] = folders.write("silver_claims_current", claims_current(snapshots))
@@ -99,11 +110,7 @@ def run_batch(
         clock=clock,
     )
     for name, df in gold.items():
-        rules = rulesets.GOLD.get(name.removeprefix("gold_"))
-        if rules:
-            with_quarantine(folders, name, df, rules)
-        else:
-            folders.write(name, df)
+        folders.write(name, df, rulesets.GOLD.get(name.removeprefix("gold_"), ()), clock)
     return inventory(listed_tables(folders))
 
 

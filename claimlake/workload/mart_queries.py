@@ -304,6 +304,12 @@ def _exposure_sql(join: str) -> str:
 
 @query("mart_portfolio_exposure", _exposure_sql("JOIN silver_zones z ON p.postcode = z.postcode"))
 def portfolio_exposure(spark, folder):
+    # Customers are unique, and so are the policies made of them.
+    return marts.portfolio_exposure(t.silver_premiums(spark, folder), t.silver_zones(spark, folder), unique_policies=True)
+
+
+@query("mart_portfolio_exposure_counting_policies", _exposure_sql("JOIN silver_zones z ON p.postcode = z.postcode"))
+def _(spark, folder):
     return marts.portfolio_exposure(t.silver_premiums(spark, folder), t.silver_zones(spark, folder))
 
 

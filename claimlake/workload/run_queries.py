@@ -282,9 +282,9 @@ def _(spark, folder):
 
 FLOWS_SQL = " UNION ALL ".join(
     [
-        f"SELECT 'policies' AS table_name, count(*) AS rows, {money('sum(premium)')} AS premium FROM raw_premiums WHERE premium > 0",
-        f"SELECT 'policies_quarantine', count(*), {money('sum(premium)')} FROM raw_premiums WHERE NOT (premium > 0 AND insured > 0 AND policy_start_date < policy_end_date)",
-        f"SELECT 'premium_by_region', count(*), {money('sum(s)')} FROM (SELECT sum(premium) AS s FROM raw_premiums WHERE premium > 0 GROUP BY region_name)",
+        f"SELECT 'silver_policies' AS table_name, count(*) AS rows, {money('sum(premium)')} AS premium FROM raw_premiums WHERE premium > 0",
+        f"SELECT 'silver_policies_quarantine', count(*), {money('sum(premium)')} FROM raw_premiums WHERE NOT (premium > 0 AND insured > 0 AND policy_start_date < policy_end_date)",
+        f"SELECT 'gold_premium_by_region', count(*), {money('sum(s)')} FROM (SELECT sum(premium) AS s FROM raw_premiums WHERE premium > 0 GROUP BY region_name)",
     ]
 )
 
@@ -313,6 +313,6 @@ def _(spark, folder):
         runner.read(name).agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.sum("annual_premium").alias("premium")
         )
-        for name in ("policies", "policies_quarantine", "premium_by_region")
+        for name in ("silver_policies", "silver_policies_quarantine", "gold_premium_by_region")
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -70,6 +70,18 @@ def test_split_keeps_soft_failures_and_quarantines_all(spark):
     assert reasons == {"SOFT": "valid_peril_type", "HARD": "policy_id_not_null", "UNKNOWN": "incurred_gte_paid,non_negative_incurred"}
 
 
+def test_judged_rows_are_table_and_quarantine_in_one(spark):
+    rules = rulesets.SILVER["claims_snapshots"]
+    rows = typed_claims(raw(spark, "claims", {"claim_id": "OK"}, {"claim_id": "SOFT", "peril_type": "Hail"}, {"claim_id": "HARD", "policy_id": None}))
+    kept, bad = quality.split(rows, rules)
+    judged = quality.judge(rows, rules)
+    assert judged.count() == 3
+    assert quality.kept_of(judged).exceptAll(kept).isEmpty() and quality.kept_of(judged).columns == kept.columns
+    stamp = F.lit(None).alias("_quarantine_ts")
+    same = quality.quarantine_of(judged).withColumn("_quarantine_ts", stamp).exceptAll(bad.withColumn("_quarantine_ts", stamp))
+    assert same.isEmpty() and quality.quarantine_of(judged).count() == bad.count() == 2
+
+
 def test_rule_counters_come_with_the_rows(spark):
     rules = [quality.required("policy_id"), quality.Rule("large", "CAST(incurred_amount AS DOUBLE) > 5000")]
     seen = Observation("rules")

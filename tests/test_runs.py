@@ -63,7 +63,7 @@ SPECS = """[
    "mode": "stream", "select": ["policy_id", "annual_premium", "seq"],
    "rules": {"expect_or_drop": [{"name": "policy_id_not_null", "constraint": "policy_id IS NOT NULL", "tag": "Completeness"}],
              "expect": [{"name": "number", "constraint": "try_cast(annual_premium AS DOUBLE) IS NOT NULL"}]}},
-  {"name": "policies", "layer": "silver", "source": "{root}/bronze/policies", "source_format": "parquet",
+  {"name": "policies", "layer": "silver", "table": "bronze_policies", "mode": "stream",
    "select": ["policy_id", "try_cast(annual_premium AS DECIMAL(18,2)) AS annual_premium", "seq"],
    "keys": ["policy_id"], "sequence": "seq", "except_columns": ["seq"]},
   {"name": "total", "layer": "gold", "sql": "SELECT sum(annual_premium) AS premium, count(*) AS n FROM {silver}_policies"}
@@ -74,7 +74,7 @@ def test_declared_flows_end_to_end(spark, tmp_path):
     landing, root = tmp_path / "in", str(tmp_path / "out")
     landing.mkdir()
     (landing / "a.csv").write_text("policy_id,annual_premium,seq\nP1,100,1\nP2,abc,1\n,5,1\n")
-    tokens = {"landing": str(landing), "root": root, "silver": "silver"}
+    tokens = {"landing": str(landing), "silver": "silver"}
     filled = SPECS
     for key, value in tokens.items():
         filled = filled.replace("{" + key + "}", value)
@@ -84,15 +84,16 @@ def test_declared_flows_end_to_end(spark, tmp_path):
     log = eventlog.RunLog(spark, log_path, "p1", "claims")
     runner = FlowRunner(spark, root, log)
     runner.run(specs)
-    assert only(runner.read("total")).asDict() == {"premium": 100, "n": 2}
-    bad = spark.read.parquet(f"{root}/bronze/policies_quarantine")
+    assert only(runner.read("gold_total")).asDict() == {"premium": 100, "n": 2}
+    bad = runner.read("bronze_policies_quarantine")
     assert sorted(r.quarantine_reason for r in bad.collect()) == ["number", "policy_id_not_null"]
 
     (landing / "b.csv").write_text("policy_id,annual_premium,seq\nP1,50,0\nP2,70,2\n")
-    FlowRunner(spark, root, eventlog.RunLog(spark, log_path, "p1", "claims")).run(specs)
-    state = spark.read.parquet(f"{root}/silver/policies")
+    again = FlowRunner(spark, root, eventlog.RunLog(spark, log_path, "p1", "claims"))
+    again.run(specs)
+    state = again.read("silver_policies")
     assert {r.policy_id: r.annual_premium for r in state.collect()} == {"P1": 100, "P2": 70}
-    assert spark.read.parquet(f"{root}/bronze/policies").count() == 4
+    assert again.read("bronze_policies").count() == 4 and again.read("bronze_policies_quarantine").count() == 2
 
     rows = eventlog.read_log(spark, log_path)
     flows = eventlog.flow_metrics(rows).filter("table_name = 'policies' AND update_id = '%s'" % log.update_id)
@@ -115,6 +116,7 @@ def test_specifications_are_checked(spark):
     for wrong in (
         dict(name="a"), dict(name="a", source="x", sql="y"), dict(name="a", source="x", keys=("k",)),
         dict(name="a", source="x", mode="stream"), dict(name="a", sql="x", mode="stream"),
+        dict(name="a", source="x", table="y"),
     ):
         with pytest.raises(ValueError):
             FlowSpec(**wrong)
