@@ -20,10 +20,15 @@ def as_column(value: str | Column) -> Column:
 
 
 def parse_date(value: str | Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
-    """A date from text in any of the patterns, else whatever a plain cast accepts, else NULL."""
+    """A date from text in any of the patterns, else whatever a plain cast accepts, else NULL.
+
+    When the ISO pattern comes first the plain cast is tried before all: it reads the same texts without a
+    formatter, and no text it accepts fits a slashed pattern.
+    """
     text = as_column(value)
-    attempts = [F.try_to_date(text, pattern) for pattern in patterns]
-    return F.coalesce(*attempts, text.try_cast("date"))
+    if patterns and patterns[0] == ISO_DATE:
+        return F.coalesce(text.try_cast("date"), *[F.try_to_date(text, pattern) for pattern in patterns[1:]])
+    return F.coalesce(*[F.try_to_date(text, pattern) for pattern in patterns], text.try_cast("date"))
 
 
 def safe_double(value: str | Column) -> Column:

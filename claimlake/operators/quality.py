@@ -120,15 +120,13 @@ def quarantine_of(judged: DataFrame) -> DataFrame:
 
 
 def rule_counts(rules: Sequence[Rule]) -> list[Column]:
-    """Passed and failed counters of every rule, aligned for one aggregate."""
-    return [
-        counter
-        for rule in rules
-        for counter in (
-            F.count_if(rule.passes()).alias(f"{rule.name}__passed"),
-            F.count_if(~rule.passes()).alias(f"{rule.name}__failed"),
-        )
-    ]
+    """Passed and failed counters of every rule, each predicate evaluated once per row."""
+    rows = F.count(F.lit(1))
+    counters = []
+    for rule in rules:
+        passed = F.count_if(rule.passes())
+        counters += [passed.alias(f"{rule.name}__passed"), (rows - passed).alias(f"{rule.name}__failed")]
+    return counters
 
 
 def observe_rules(df: DataFrame, rules: Sequence[Rule], observation: Observation | str) -> DataFrame:

@@ -25,6 +25,12 @@ def find_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     return duplicate_groups(df, columns).orderBy(F.col("duplicate_count").desc())
 
 
+def top_duplicates(df: DataFrame, n: int, columns: Sequence[str] | None = None) -> DataFrame:
+    """The n most frequent duplicate groups, ties by content."""
+    keys = list(columns or business_columns(df))
+    return duplicate_groups(df, keys).orderBy(F.col("duplicate_count").desc(), *keys).limit(n)
+
+
 def duplicate_groups(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     keys = list(columns or business_columns(df))
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("duplicate_count")).filter("duplicate_count > 1")

@@ -43,6 +43,18 @@ def _(spark, folder):
     return r.find_duplicates(t.raw_claims(spark, folder), DUPLICATE_KEYS)
 
 
+@query(
+    "report_top_duplicates",
+    with_raw(
+        """SELECT policy_id, peril_type, claim_status, count(*) AS duplicate_count FROM raw_claims
+        GROUP BY policy_id, peril_type, claim_status HAVING count(*) > 1
+        ORDER BY duplicate_count DESC, policy_id NULLS FIRST, peril_type NULLS FIRST, claim_status NULLS FIRST LIMIT 20"""
+    ),
+)
+def _(spark, folder):
+    return r.top_duplicates(t.raw_claims(spark, folder), 20, ["policy_id", "peril_type", "claim_status"])
+
+
 @query(
     "report_duplicate_summary",
     with_raw(
@@ -114,7 +126,7 @@ ORPHANS_UNION = """
 @query("report_business_rules", with_raw(RULES_UNION))
 def _(spark, folder):
     return r.business_rule_violations(
-        t.raw_claims(spark, folder), t.raw_events(spark, folder), t.raw_premiums(spark, folder)
+        t.derived_once(t.raw_claims(spark, folder)), t.raw_events(spark, folder), t.raw_premiums(spark, folder)
     )
 
 
@@ -246,7 +258,7 @@ def _(spark, folder):
 
 @query("rules_silver_claims", with_raw(_metrics_sql("raw_claims", "claims_snapshots", rulesets.SILVER["claims_snapshots"])))
 def _(spark, folder):
-    typed = typed_claims(t.raw_claims(spark, folder))
+    typed = typed_claims(t.derived_once(t.raw_claims(spark, folder)))
     return q.rule_metrics(typed, rulesets.SILVER["claims_snapshots"], "claims_snapshots")
 
 

@@ -306,7 +306,8 @@ def _(spark, folder):
     )
     by_region = FlowSpec(
         name="premium_by_region", layer="gold",
-        sql="SELECT region_name, sum(annual_premium) AS annual_premium FROM silver_policies GROUP BY region_name",
+        sql="""SELECT region_name, sum(annual_premium) AS annual_premium FROM silver_policies
+        GROUP BY ALL HAVING annual_premium > 0""",
     )
     runner.run([policies, by_region])
     parts = [

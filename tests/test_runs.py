@@ -104,6 +104,21 @@ def test_declared_flows_end_to_end(spark, tmp_path):
     assert only(eventlog.run_counters(eventlog.update_runs(rows))).asDict() == {"update_count": 2, "failed_updates": 0}
 
 
+def test_full_refresh_of_declared_flows(spark, tmp_path):
+    from claimlake.streaming.refresh import Versions
+
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / "a.csv").write_text("policy_id,annual_premium,seq\nP1,100,1\n")
+    specs = load_specs(SPECS.replace("{landing}", str(landing)).replace("{silver}", "silver"))
+    versions = Versions(spark, str(tmp_path / "versions"))
+    first = versions.refresh(lambda output, _: FlowRunner(spark, output).run(specs) and None)
+    (landing / "a.csv").write_text("policy_id,annual_premium,seq\nP1,300,1\nP3,1,1\n")
+    second = versions.refresh(lambda output, _: FlowRunner(spark, output).run(specs) and None)
+    premiums = [spark.read.parquet(f"{v}/gold/total").first().premium for v in (first, second)]
+    assert premiums == [100, 301] and versions.current() == second
+
+
 def test_failed_flow_is_logged_and_raised(spark, tmp_path):
     log = eventlog.RunLog(spark, str(tmp_path / "log"), "p", "claims")
     with pytest.raises(Exception):
