@@ -11,7 +11,6 @@ import time
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +18,7 @@ from claimlake.operators import quality as q
 from claimlake.operators.eventlog import RunLog, expectation_entries
 from claimlake.operators.projection import select_expressions, substitute
 from claimlake.sinks.upsert import Upsert, upsert
+from claimlake.sources.paths import exists
 from claimlake.streaming.runs import AVAILABLE_NOW, finish
 
 BATCH = "_flow_batch"
@@ -146,10 +146,8 @@ class FlowRunner:
             # A growing number, so that no later run passes for a replay of an earlier one.
             counts = self._write(spec, self._batch_source(spec), time.time_ns())
         self.written[spec.view] = spec
-        try:
+        if exists(self.spark, self.path(spec)):
             self.read(spec.view).createOrReplaceTempView(spec.view)
-        except AnalysisException:
-            pass
         if self.log:
             entries = expectation_entries(spec.name, spec.rules, counts) if counts and spec.rules else ()
             dropped = counts.get("rows", 0) - counts.get("kept", 0)

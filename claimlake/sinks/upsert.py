@@ -13,11 +13,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.operators.latest import latest_by
+from claimlake.sources.paths import exists
 
 PART = "_part"
 
@@ -45,10 +45,7 @@ class Upsert:
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.option("mergeSchema", True).parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.option("mergeSchema", True).parquet(path) if exists(spark, path) else None
 
 
 def latest_state(changes: DataFrame, spec: Upsert) -> DataFrame:
@@ -110,10 +107,9 @@ def _stage(batch: DataFrame, target: str, slot: str, spec: Upsert, batch_id: int
 
 def _staged_batch(spark: SparkSession, slot: str) -> int | None:
     """The batch a slot was finished for; noted only after all its files were committed."""
-    try:
-        note = spark.read.schema("batch bigint").json(f"{slot}_done").first()
-    except AnalysisException:
+    if not exists(spark, f"{slot}_done"):
         return None
+    note = spark.read.schema("batch bigint").json(f"{slot}_done").first()
     return note["batch"] if note else None
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlake.functions.casting import now_or
 from claimlake.schemas import BATCH_AUDIT, STREAM_AUDIT, AuditColumns, Entity
+from claimlake.sources.paths import exists
 from claimlake.sources.rescue import MALFORMED, apply_hints
 
 
@@ -39,16 +39,13 @@ def read_csv_text(
 
 def read_csv_or_fallback(spark: SparkSession, preferred: str, fallback: str) -> DataFrame:
     """Text rows of the preferred location, or of the other one when it is missing or holds no rows."""
-    try:
+    if exists(spark, preferred):
         rows = spark.read.csv(preferred, header=True)
         if rows.columns and not rows.isEmpty():
             return rows
-    except AnalysisException:
-        pass
-    try:
-        return spark.read.csv(fallback, header=True)
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no CSV rows in {preferred} or {fallback}") from error
+    if not exists(spark, fallback):
+        raise FileNotFoundError(f"no CSV rows in {preferred} or {fallback}")
+    return spark.read.csv(fallback, header=True)
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.schemas import ENTITIES, Entity
+from claimlake.sources.paths import exists
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,7 @@ DATASETS = tuple(LandingDataset(entity) for entity in ENTITIES.values())
 
 def list_csv_files(spark: SparkSession, folder: str) -> DataFrame:
     """(path, name) of the CSV files in a folder, whatever the case of their extension; contents stay unread."""
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(folder)
-    except AnalysisException as error:
-        raise FileNotFoundError(f"no folder {folder}") from error
+    if not exists(spark, folder):
+        raise FileNotFoundError(f"no folder {folder}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(folder)
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name")).orderBy("path")

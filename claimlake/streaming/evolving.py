@@ -12,7 +12,6 @@ import csv
 import io
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from claimlake.schemas import STREAM_AUDIT
 from claimlake.sources.csv import with_audit
 from claimlake.sources.landing import DATASETS, LandingDataset
+from claimlake.sources.paths import exists
 from claimlake.sources.rescue import MALFORMED, apply_hints
 
 BATCH = "_batch"
@@ -33,11 +33,10 @@ class SchemaLog:
         self.spark, self.path = spark, path
 
     def columns(self) -> list[str]:
-        try:
-            entries = self.spark.read.schema("version int, columns string").json(self.path)
-            last = entries.orderBy(F.col("version").desc()).first()
-        except AnalysisException:
+        if not exists(self.spark, self.path):
             return []
+        entries = self.spark.read.schema("version int, columns string").json(self.path)
+        last = entries.orderBy(F.col("version").desc()).first()
         return json.loads(last["columns"]) if last else []
 
     def extend(self, names: list[str]) -> list[str]:

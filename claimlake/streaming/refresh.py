@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlake.sources.paths import exists
+
 
 class Versions:
     """The versions of one output; an append-only log says which one is current."""
@@ -21,10 +22,9 @@ class Versions:
 
     def current(self) -> str | None:
         """Folder of the current version, None before the first refresh."""
-        try:
-            last = self._entries().orderBy(F.col("number").desc()).first()
-        except AnalysisException:
+        if not exists(self.spark, f"{self.root}/versions"):
             return None
+        last = self._entries().orderBy(F.col("number").desc()).first()
         return f"{self.root}/{last['name']}" if last else None
 
     def refresh(self, build: Callable[[str, str], None]) -> str:
@@ -32,10 +32,9 @@ class Versions:
 
         Readers see the old version until the new one is whole; a failed build changes nothing.
         """
-        try:
-            number = (self._entries().agg(F.max("number")).first()[0] or 0) + 1
-        except AnalysisException:
-            number = 1
+        number = 1
+        if exists(self.spark, f"{self.root}/versions"):
+            number += self._entries().agg(F.max("number")).first()[0] or 0
         name = f"v{number}-{uuid.uuid4().hex[:8]}"
         build(f"{self.root}/{name}", f"{self.root}/{name}-checkpoint")
         entry = self.spark.createDataFrame([(number, name)], "number int, name string")
