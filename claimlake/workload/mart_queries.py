@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from claimlake.functions.casting import STRICT
 from claimlake.operators import marts
 from claimlake.operators.latest import first_and_last, keep_one, unique_zones
-from claimlake.operators.projection import typed_claims, typed_events, typed_premiums, typed_zones, with_active_flag
+from claimlake.operators.projection import typed_claims, typed_premiums, typed_zones, with_active_flag
 from claimlake.workload import tables as t
 from claimlake.workload.oracle import (
     coarse_percent, coarse_ratio, half_up, mean, money, percent, with_raw, with_silver,

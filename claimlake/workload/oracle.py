@@ -11,7 +11,7 @@ raw_claims AS (
   SELECT
     CASE WHEN l_partkey % 107 = 0 THEN NULL ELSE concat(l_orderkey, '-', l_linenumber) END AS claim_id,
     CASE WHEN l_partkey % 97 = 0 THEN NULL WHEN l_partkey % 103 = 0 THEN ' ' ELSE CAST(o_custkey AS VARCHAR) END AS policy_id,
-    CASE WHEN l_returnflag = 'N' THEN NULL ELSE concat('CYC-', l_suppkey) END AS event_id,
+    CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_partkey % 71 = 0 THEN 'CYC-GONE' ELSE concat('CYC-', l_suppkey) END AS event_id,
     CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS date_of_loss,
     l_partkey % 89 = 0 AS bad_loss_text,
     CAST(l_shipdate AS DATE) AS reported_date,
@@ -43,7 +43,6 @@ raw_premiums AS (
     concat('premiums-', c_custkey % 4, '.csv') AS source_file_name,
     DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS ingested
   FROM customer JOIN nation ON c_nationkey = n_nationkey
-  WHERE c_custkey % 50 <> 0
 ),
 raw_zones AS (
   SELECT
@@ -63,7 +62,7 @@ raw_events AS (
     DATE '1995-01-01' + CAST(s_suppkey * 37 % 2000 AS INTEGER) + CAST(s_suppkey % 7 AS INTEGER) - 1 AS end_date,
     concat('events-', s_suppkey % 2, '.csv') AS source_file_name,
     DATE '2024-03-01' + CAST(s_suppkey % 20 AS INTEGER) AS ingested
-  FROM supplier WHERE s_suppkey % 25 <> 0
+  FROM supplier
 )"""
 
 SILVER = """
