@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import imatch, language_mixture
+from claimlake.llm import bpe_recursive, imatch, language_mixture, token_planes
 from claimlake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,11 +24,31 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op3_token_planes")
+def op3_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_planes.encode_and_read(table(spark, sf_dir, "documents", "doc_id", "text"), vocabulary("word_bpe_49k.json"))
+
+
 @query("op7_imatch")
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@query("op8_bpe_recursive")
+def op8_bpe_recursive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    coded = bpe_recursive.round_trip_digests(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query("op10_language_mixture")
 def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
