@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe_recursive, imatch, language_mixture, token_planes
+from claimlake.llm import bpe_recursive, imatch, language_mixture, superminhash, token_planes
 from claimlake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_mixture.learn(judged.where("NOT held_out AND doc_id IS NOT NULL"))
     predicted = language_mixture.predict(judged.select("doc_id", "held_out", "text"), model)
     return predicted.select("doc_id", "held_out", "lang_pred", F.col("score"), "languages")
+
+
+@query("op9_superminhash")
+def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=4)
