@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe_recursive, imatch, language_mixture, superminhash, token_planes
+from claimlake.llm import bpe_recursive, bwt_columns, fm_index, imatch, language_mixture, superminhash, token_planes
 from claimlake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,14 +19,27 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(function: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = function
+        @wraps(function)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            workers_find_us(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql:
             SQL[name] = sql
-        return function
+        return run
 
     return register
 
 
+def workers_find_us(spark: SparkSession) -> None:
+    """Python workers import this library from where the driver has it, whatever folder they start in."""
+    paths = [x for x in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    home = str(Path(__file__).resolve().parents[2])
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *paths])
+
+
 def vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -61,3 +77,13 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_superminhash")
 def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), width=4)
+
+
+@query("op5_fm_index")
+def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_index.digests(fm_index.remove(table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query("op1_bwt_columns")
+def op1_bwt_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_columns.remove_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
