@@ -228,9 +228,9 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, key: str = "
         files.move(draft, f"{base}/{name}")
         yield {"range_id": [spot], "file": [f"{folder}/{name}"], "n_docs": [made["n_docs"]], "n_ids": [made["n_ids"]]}
 
-    found = arrow_partitions(ordered, work, "range_id int, file string, n_docs long, n_ids long").orderBy("range_id").collect()
+    found = arrow_partitions(ordered, work, "range_id int, file string, n_docs long, n_ids long").collect()
     before, out = 0, []
-    for r in found:
+    for r in sorted(found):  # a sort in Spark would run the encoding once more for its sample
         out.append({"file": r.file, "before": before, "n_docs": r.n_docs, "n_ids": r.n_ids})
         before += r.n_ids
     return out
