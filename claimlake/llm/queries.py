@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe_recursive, bwt_columns, fm_index, imatch, language_mixture, superminhash, token_planes
+from claimlake.llm import bpe_recursive, bwt_columns, fm_index, imatch, language_mixture, superminhash, token_planes, toxicity
 from claimlake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,11 @@ def op5_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_bwt_columns")
 def op1_bwt_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bwt_columns.remove_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").withColumn("held_out", held_out("doc_id", 5, 0))
+    labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out("doc_id", 5, 0))
+    scorer = toxicity.fit(docs.select("doc_id", "text"), labels)
+    return scorer.score(docs).select("doc_id", "held_out", "score", "predicted")
