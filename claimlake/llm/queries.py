@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe_recursive, bwt_columns, fm_index, imatch, language_mixture, superminhash, token_planes, toxicity
+from claimlake.llm import bpe_recursive, bwt_columns, fm_index, html_cut, imatch, language_mixture, superminhash, token_planes, toxicity
 from claimlake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels", "doc_id", "toxic").where(~held_out("doc_id", 5, 0))
     scorer = toxicity.fit(docs.select("doc_id", "text"), labels)
     return scorer.score(docs).select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op6_html_cut")
+def op6_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_cut.extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
