@@ -10,7 +10,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe_recursive, bwt_columns, fm_index, html_cut, imatch, language_mixture, superminhash, token_planes, toxicity
+from claimlake.llm import bpe_recursive, bwt_columns, fm_index, html_cut, imatch, language_mixture, superminhash, templates, token_planes, toxicity
 from claimlake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_html_cut")
 def op6_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_cut.extract(table(spark, sf_dir, "pages", "page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+@query("op4_templates")
+def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return templates.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
