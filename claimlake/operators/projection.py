@@ -28,6 +28,11 @@ def stamp(df: DataFrame, column: str, clock: Column | None = None) -> DataFrame:
     return df.withColumn(column, now_or(clock))
 
 
+def _typed(name: str, kind: str, mode: str) -> Column:
+    """A cast; in permissive mode dates may come in several spellings."""
+    return parse_date(name) if kind == "date" and mode == PERMISSIVE else retype(name, kind, mode)
+
+
 def project_typed(
     df: DataFrame,
     entity: Entity,
@@ -43,7 +48,7 @@ def project_typed(
     """
     overrides, types = overrides or {}, types or {}
     columns = [
-        overrides.get(name, retype(name, types.get(name, kind), mode)).alias(name)
+        overrides.get(name, _typed(name, types.get(name, kind), mode)).alias(name)
         for name, kind in entity.fields.items()
     ]
     return df.select(*columns, *lineage(df, audit))

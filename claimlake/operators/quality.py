@@ -129,9 +129,15 @@ def rule_counts(rules: Sequence[Rule]) -> list[Column]:
     return counters
 
 
+def flow_counts(rules: Sequence[Rule]) -> list[Column]:
+    """``rows`` read, ``kept`` ones that pass every hard rule, and the counters of each rule."""
+    kept = all_pass(rule for rule in rules if rule.action == DROP)
+    return [F.count(F.lit(1)).alias("rows"), F.count_if(kept).alias("kept"), *rule_counts(rules)]
+
+
 def observe_rules(df: DataFrame, rules: Sequence[Rule], observation: Observation | str) -> DataFrame:
     """Let the rule counters be collected while the rows flow on, batch or stream, without a second read."""
-    return df.observe(observation, *rule_counts(rules))
+    return df.observe(observation, *flow_counts(rules))
 
 
 def expect(df: DataFrame, rules: Sequence[Rule], observation: Observation | str) -> DataFrame:

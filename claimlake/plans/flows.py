@@ -19,7 +19,7 @@ from claimlake.operators.eventlog import RunLog, expectation_entries
 from claimlake.operators.projection import select_expressions, substitute
 from claimlake.sinks.upsert import Upsert, upsert
 from claimlake.sources.paths import exists
-from claimlake.streaming.runs import AVAILABLE_NOW, finish
+from claimlake.streaming.runs import AVAILABLE_NOW, finish, stream_identity
 
 BATCH = "_flow_batch"
 
@@ -131,11 +131,19 @@ class FlowRunner:
         base = name.removesuffix("_quarantine") if name not in self.written else name
         spec, quarantine = self.written[base], name != base
         suffix = "_quarantine" if quarantine and spec.keys else ""
-        df = self.spark.read.option("mergeSchema", True).parquet(self.path(spec, suffix))
+        path = self.path(spec, suffix)
+        if suffix and not exists(self.spark, path):
+            return self._no_quarantine(spec)  # every row has been clean so far
+        df = self.spark.read.option("mergeSchema", True).parquet(path)
         if spec.rules and (quarantine or not spec.keys):
             df = q.quarantine_of(df) if quarantine else q.kept_of(df)
         return df.drop("_part", BATCH, *spec.except_columns)
 
+    def _no_quarantine(self, spec: FlowSpec) -> DataFrame:
+        """An empty quarantine with the columns of the table's rows and of a quarantine."""
+        rows = self.read(spec.view).limit(0)
+        return q.quarantine_of(q.judge(rows, spec.rules)).drop("_part", BATCH, *spec.except_columns)
+
     def _run_one(self, spec: FlowSpec) -> None:
         counts: dict[str, int] = {}
         if self.log:
@@ -144,7 +152,7 @@ class FlowRunner:
             counts = self._stream(spec)
         else:
             # A growing number, so that no later run passes for a replay of an earlier one.
-            counts = self._write(spec, self._batch_source(spec), time.time_ns())
+            counts = self._write(spec, self._batch_source(spec), time.time_ns(), "batch")
         self.written[spec.view] = spec
         if exists(self.spark, self.path(spec)):
             self.read(spec.view).createOrReplaceTempView(spec.view)
@@ -159,7 +167,7 @@ class FlowRunner:
         elif spec.table:
             df = self.read(spec.table)
         else:
-            reader = self.spark.read.format(spec.source_format).option("header", True)
+            reader = self.spark.read.format(spec.source_format).option("header", True).option("enforceSchema", False)
             df = (reader.schema(spec.schema) if spec.schema else reader).load(spec.source)
         return select_expressions(df, spec.select) if spec.select else df
 
@@ -169,16 +177,20 @@ class FlowRunner:
             stream = select_expressions(stream, spec.select)
         totals: dict[str, int] = {}
 
+        checkpoint = self.path(spec, "__checkpoint")
+
         def each(batch: DataFrame, batch_id: int) -> None:
-            for name, value in self._write(spec, batch, batch_id).items():
+            identity = stream_identity(self.spark, checkpoint)
+            for name, value in self._write(spec, batch, batch_id, identity).items():
                 totals[name] = totals.get(name, 0) + value
 
-        query = stream.writeStream.foreachBatch(each).option("checkpointLocation", self.path(spec, "__checkpoint"))
+        query = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
         finish(query.trigger(**AVAILABLE_NOW).start())
         return totals
 
     def _stream_files(self, spec: FlowSpec) -> DataFrame:
-        reader = self.spark.readStream.format(spec.source_format).option("header", True)
+        # A header in another order than the schema fails, where Spark would go by position.
+        reader = self.spark.readStream.format(spec.source_format).option("header", True).option("enforceSchema", False)
         schema = spec.schema or self.spark.read.format(spec.source_format).load(spec.source).schema
         return reader.schema(schema).load(spec.source)
 
@@ -190,35 +202,37 @@ class FlowRunner:
         rows = self.spark.readStream.schema(schema).parquet(self.path(source))
         return (q.kept_of(rows) if source.rules else rows).drop(BATCH)
 
-    def _write(self, spec: FlowSpec, df: DataFrame, batch_id: int) -> dict[str, int]:
+    def _write(self, spec: FlowSpec, df: DataFrame, batch_id: int, stream: str) -> dict[str, int]:
         """Write rows and verdicts in one pass over the input; the counters come from the write itself.
 
-        A type-1 table takes its kept rows from the judged batch, which is held for the second write.
+        A type-1 table takes its kept rows from the judged batch, which is held for the second write. Its counters are noted
+        with the batch, so a batch that is only published again still has them.
         """
         seen = Observation()
-        counters = [F.count(F.lit(1)).alias("rows"), F.count_if(q.all_pass(r for r in spec.rules if r.action == q.DROP)).alias("kept")]
-        observed = df.observe(seen, *counters, *q.rule_counts(spec.rules))
+        observed = df.observe(seen, *q.flow_counts(spec.rules))
         judged = q.judge(observed, spec.rules) if spec.rules else observed
         layout = spec.upsert_spec()
         if layout is None:
-            self._replace(judged, self.path(spec), spec, batch_id)
+            self._replace(judged, self.path(spec), spec, batch_id, stream)
             return seen.get
         if not spec.rules:
-            upsert(judged, self.path(spec), layout, batch_id)
-            return seen.get
+            return upsert(judged, self.path(spec), layout, batch_id, stream, lambda: seen.get)
         judged = judged.persist()
         try:
-            upsert(q.kept_of(judged), self.path(spec), layout, batch_id)
+            counts = upsert(q.kept_of(judged), self.path(spec), layout, batch_id, stream, lambda: seen.get)
             if spec.quarantine:
                 bad = judged.filter(F.col(q.VERDICT) != q.CLEAN)
-                self._replace(bad, self.path(spec, "_quarantine"), spec, batch_id)
-            return seen.get
+                self._replace(bad, self.path(spec, "_quarantine"), spec, batch_id, stream)
+            return counts
         finally:
             judged.unpersist()
 
-    def _replace(self, df: DataFrame, path: str, spec: FlowSpec, batch_id: int) -> None:
-        """Replace the whole table in batch mode, only the batch's own partition in stream mode."""
+    def _replace(self, df: DataFrame, path: str, spec: FlowSpec, batch_id: int, stream: str) -> None:
+        """Replace the whole table in batch mode, only the batch's own partition in stream mode.
+
+        The partition names the stream too: batch numbers start again with every new checkpoint.
+        """
         parts = [BATCH, *([q.VERDICT] if q.VERDICT in df.columns else [])]
         overwrite = "dynamic" if spec.mode == "stream" else "static"
-        writer = df.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite").partitionBy(*parts)
+        writer = df.withColumn(BATCH, F.lit(f"{stream}-{batch_id}")).write.mode("overwrite").partitionBy(*parts)
         writer.option("partitionOverwriteMode", overwrite).parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -94,6 +95,10 @@ def ingest_folder(
     files = list_csv_files(spark, folder).collect()
     if not files:
         raise FileNotFoundError(f"no CSV files found in {folder}")
+    names = Counter(bronze_table_name(file.name) for file in files)
+    shared = sorted(name for name, n in names.items() if n > 1)
+    if shared:
+        raise ValueError(f"several files would become one table: {shared}")
     written = []
     for file in files:
         name = f"{database}.{bronze_table_name(file.name)}"

@@ -30,11 +30,16 @@ def read_csv_text(
     audit: AuditColumns = STREAM_AUDIT,
     clock: Column | None = None,
 ) -> DataFrame:
-    """All columns as text, from the header or a given contract."""
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return with_audit(reader.csv(path), audit, clock)
+    """All columns as text, by the header; a given contract picks its columns by name, absent ones are NULL.
+
+    Files whose headers differ from the first one's fail the read, where Spark would go by position.
+    """
+    rows = with_audit(spark.read.option("header", True).option("enforceSchema", False).csv(path), audit, clock)
+    if schema is None:
+        return rows
+    known = {n.lower(): n for n in rows.columns}
+    picked = [F.col(f"`{known[n.lower()]}`").alias(n) if n.lower() in known else F.lit(None).cast("string").alias(n) for n in schema.names]
+    return rows.select(*picked, audit.ingested_at, audit.source_file)
 
 
 def read_csv_or_fallback(spark: SparkSession, preferred: str, fallback: str) -> DataFrame:
@@ -64,12 +69,14 @@ def stream_csv(
     """A stream of one landing folder under a fixed contract.
 
     Files are read as text, then cast by the entity's types; text that does not fit, and whole lines with
-    too few or too many fields, go to ``_rescued_data``.
+    too few or too many fields, go to ``_rescued_data``. A file whose header is not the contract's fails the stream; where
+    headers vary, ``ingest_available_now`` reads each file under its own.
     """
     contract = T.StructType([*entity.raw_schema().fields, T.StructField(MALFORMED, T.StringType())])
     reader = (
         spark.readStream.schema(contract)
         .option("header", True)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)
     )

@@ -1,11 +1,28 @@
-"""Whether a path exists on whatever file system the session uses."""
+"""Paths on whatever file system the session uses: existence, removal, names as a reader takes them."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 
 def exists(spark: SparkSession, path: str) -> bool:
     """Asked of the Hadoop file system, so that a first run needs no failed read to find out."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def decoded(path: Column) -> Column:
+    """A file path of Spark's metadata column without its URL encoding (``%20``); a plus is a plus."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal(path: str) -> str:
+    """A path whose brackets, braces and stars are not read as a pattern."""
+    return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)

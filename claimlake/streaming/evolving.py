@@ -20,8 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from claimlake.schemas import STREAM_AUDIT
 from claimlake.sources.csv import with_audit
 from claimlake.sources.landing import DATASETS, LandingDataset
-from claimlake.sources.paths import exists
+from claimlake.sources.paths import decoded, exists, literal
 from claimlake.sources.rescue import MALFORMED, apply_hints
+from claimlake.streaming.runs import stream_identity
 
 BATCH = "_batch"
 
@@ -52,13 +53,13 @@ class SchemaLog:
 def file_headers(lines: DataFrame) -> DataFrame:
     """(header, files): the distinct first lines of the files and the files that have them.
 
-    Only the first block of each file can hold its first line, and within it the smallest row id does.
+    Blank lines before a header are skipped, as the reader skips them.
     """
     first = (
         lines.withColumn("_row", F.monotonically_increasing_id())
-        .filter("_start = 0")
+        .filter(F.length(F.trim("value")) > 0)
         .groupBy("_path")
-        .agg(F.min_by("value", "_row").alias("header"))
+        .agg(F.min_by("value", F.struct("_start", "_row")).alias("header"))
     )
     return first.groupBy("header").agg(F.collect_list("_path").alias("files"))
 
@@ -73,7 +74,7 @@ def read_by_header(spark: SparkSession, groups: list, columns: list[str], clock:
             spark.read.schema(contract)
             .option("header", True)
             .option("columnNameOfCorruptRecord", MALFORMED)
-            .csv(group["files"])
+            .csv([literal(path) for path in group["files"]])
         )
         parts.append(with_audit(rows, STREAM_AUDIT, clock))
     stacked = parts[0]
@@ -98,13 +99,13 @@ def ingest_available_now(
 ) -> StreamingQuery:
     """Take the files that are new, append them typed to the target folder, then stop.
 
-    Each batch fills its own ``_batch`` partition and replaces it when repeated, so a restart can neither
-    lose nor double a file. ``files_per_batch`` bounds the list of paths a batch brings to the driver.
+    Each batch fills its own ``_batch`` partition, named by the stream's identity and the batch number, and replaces it
+    when repeated, so a restart can neither lose nor double a file, and a new checkpoint overwrites nothing. ``files_per_batch`` bounds the list of paths a batch brings to the driver.
     """
     log = SchemaLog(spark, schema_path)
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        groups = file_headers(batch).filter(F.length("header") > 0).collect()
+        groups = file_headers(batch).collect()
         if not groups:
             return
         names = [n for g in sorted(groups, key=lambda g: min(g["files"])) for n in next(csv.reader(io.StringIO(g["header"])))]
@@ -112,7 +113,7 @@ def ingest_available_now(
         rows = read_by_header(batch.sparkSession, groups, columns, clock)
         typed = apply_hints(rows, hints or T.StructType(), surplus=[MALFORMED])
         (
-            typed.withColumn(BATCH, F.lit(batch_id))
+            typed.withColumn(BATCH, F.lit(f"{stream_identity(batch.sparkSession, checkpoint)}-{batch_id}"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BATCH)
@@ -124,7 +125,7 @@ def ingest_available_now(
         .text(source)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("_path"),
+            decoded(F.col("_metadata.file_path")).alias("_path"),
             F.col("_metadata.file_block_start").alias("_start"),
         )
     )

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import threading
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from claimlake.operators.eventlog import RunLog, expectation_entries
-from claimlake.operators.quality import DROP, Rule, clean_from_raw, quarantine_from_raw
+from claimlake.operators.quality import Rule, clean_from_raw, quarantine_from_raw
 from claimlake.sinks.upsert import Upsert, upsert
 
 AVAILABLE_NOW = {"availableNow": True}
 
 
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id a stream keeps in its checkpoint: the same after a restart, another one with a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first().value)["id"]
+
+
 def finish(query: StreamingQuery) -> StreamingQuery:
     """Wait for a triggered run; its failure is raised."""
     query.awaitTermination()
@@ -53,7 +60,8 @@ def upsert_stream(
     """Merge a stream into a type-1 table by key and sequence."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        upsert(prepare(batch) if prepare else batch, target, spec, batch_id)
+        identity = stream_identity(batch.sparkSession, checkpoint)
+        upsert(prepare(batch) if prepare else batch, target, spec, batch_id, identity)
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
@@ -75,14 +83,63 @@ def split_stream(
     )
 
 
-def log_progress(query: StreamingQuery, log: RunLog, flow: str, rules: Sequence[Rule], observation: str) -> None:
-    """One log entry per micro-batch of a stream whose rules were observed under ``observation``."""
-    for progress in query.recentProgress:
+class ProgressTap(StreamingQueryListener):
+    """Keeps every progress report of the streams of a session, however many batches they run.
+
+    A query's own list of recent reports holds the last hundred only.
+    """
+
+    def __init__(self) -> None:
+        self.reports: dict[str, list] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    @classmethod
+    def attach(cls, spark: SparkSession) -> ProgressTap:
+        tap = cls()
+        spark.streams.addListener(tap)
+        return tap
+
+    def detach(self, spark: SparkSession) -> None:
+        spark.streams.removeListener(self)
+
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        self.reports.setdefault(str(event.progress.runId), []).append(event.progress)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def of(self, query: StreamingQuery, timeout: float = 60.0) -> list:
+        """All reports of a run that has ended; they arrive a little later than its end."""
+        run = str(query.runId)
+        if not self._end(run).wait(timeout):
+            raise TimeoutError(f"no end of stream {run} was reported")
+        return self.reports.get(run, [])
+
+
+def log_progress(
+    query: StreamingQuery, log: RunLog, flow: str, rules: Sequence[Rule], observation: str, tap: ProgressTap | None = None
+) -> None:
+    """One log entry per micro-batch of a stream whose rules were observed under ``observation``.
+
+    Without a ``tap`` the query's recent reports are used, and a run of more batches than it keeps is refused.
+    """
+    reports = tap.of(query) if tap else list(query.recentProgress)
+    if not tap and len(reports) >= int(log.spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")):
+        raise ValueError("the query has dropped older reports: attach a ProgressTap before it starts")
+    for progress in reports:
         observed = progress.observedMetrics.get(observation)
         if observed is None:
             continue
-        entries = expectation_entries(flow, rules, observed.asDict())
-        hard = {rule.name for rule in rules if rule.action == DROP}
-        dropped = max((e["failed_records"] for e in entries if e["name"] in hard), default=0)
-        log.flow(flow, "RUNNING", rows=progress.numInputRows - dropped, dropped=dropped, expectations=entries)
+        found = observed.asDict()
+        entries = expectation_entries(flow, rules, found)
+        log.flow(flow, "RUNNING", rows=found["kept"], dropped=found["rows"] - found["kept"], expectations=entries)
     log.flow(flow, "COMPLETED")

@@ -87,7 +87,7 @@ def test_rule_counters_come_with_the_rows(spark):
     seen = Observation("rules")
     rows = raw(spark, "claims", {"claim_id": "A"}, {"claim_id": "B", "policy_id": None})
     assert quality.expect(rows.withColumn("incurred_amount", F.lit("10")), rules, seen).count() == 1
-    assert seen.get == {"policy_id_not_null__passed": 1, "policy_id_not_null__failed": 1, "large__passed": 0, "large__failed": 2}
+    assert seen.get == {"rows": 2, "kept": 1, "policy_id_not_null__passed": 1, "policy_id_not_null__failed": 1, "large__passed": 0, "large__failed": 2}
     metrics = {r.expectation: (r.passed_records, r.failed_records) for r in quality.rule_metrics(rows, rules, "claims").collect()}
     assert metrics == {"policy_id_not_null": (1, 1), "large": (0, 2)}
 
