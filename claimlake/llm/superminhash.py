@@ -8,8 +8,10 @@ misses all of them once in four million times.
 
 Pairs are not expanded. Documents with equal sets are one representative. Every member of a bucket is compared with the
 bucket's smallest member on full sets. Where the members of a bucket then lie in several components, pairs across components
-are compared too, but for those the triangle inequality of the Jaccard distance (via the smallest member) or their set sizes
-rule out; members of a bucket's largest component are not paired with each other. So all links that sharing a bucket can give
+are compared too, but for those that are ruled out by the triangle inequality of the Jaccard distance (via the smallest
+member), by their set sizes, or by how many of their shingles any other such document has at all: heavily edited copies of one
+text have too many of their own. One bit and one byte of every signature component rule out pairs five standard deviations
+below the threshold. Members of a bucket's largest component are not paired with each other. So all links that sharing a bucket can give
 are in the components, though not all are listed.
 
 Defined results: a null text, an empty one and one of blanks have an empty set and are linked with nothing. Rows of one
@@ -21,6 +23,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import broadcast
 
 from claimlake.llm.common import arrow_map, stored
 from claimlake.llm.language_mixture import _slices
@@ -85,29 +88,71 @@ def band_keys(values: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def low_bits(values: np.ndarray) -> np.ndarray:
+    """One bit of every component, packed into 64-bit numbers: the share of equal bits is (1 + similarity) / 2."""
+    bits = np.zeros(-(-len(values) // 64) * 64, np.uint8)
+    bits[: len(values)] = values & np.uint64(1)
+    return np.packbits(bits).view(np.int64)
+
+
+def most_unlike(components_: int, similarity: float, deviations: float = 5.0) -> int:
+    """Differing bits that a pair at ``similarity`` exceeds once in three million times."""
+    differ = (1 - similarity) / 2
+    return int(components_ * differ + deviations * (components_ * differ * (1 - differ)) ** 0.5)
+
+
+def least_alike(components_: int, similarity: float, deviations: float = 5.0) -> int:
+    """Equal components that a pair at ``similarity`` falls short of once in three million times."""
+    return int(components_ * similarity - deviations * (components_ * similarity * (1 - similarity)) ** 0.5)
+
+
 def summaries(docs: DataFrame, width: int, bands: int, rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n, s1, s2, buckets): size and 128-bit digest of each document's set, and its bucket in each band."""
+    """(doc_id, n, s1, s2, buckets, bits, octets): size and 128-bit digest of each set, its bucket in each band, and one bit and
+    one byte of each signature component."""
 
     def work(batch: dict) -> dict:
-        out: dict[str, list] = {"doc_id": batch["doc_id"], "n": [], "s1": [], "s2": [], "buckets": []}
+        out: dict[str, list] = {"doc_id": batch["doc_id"], "n": [], "s1": [], "s2": [], "buckets": [], "bits": [], "octets": []}
         for at in _slices([len(t or "") for t in batch["text"]], 500_000):
             for found in shingle_sets(batch["text"][at], width):
                 one, two = mix(found + GOLD).sum(dtype=np.uint64), mix(found ^ GOLD).sum(dtype=np.uint64)
                 out["n"].append(len(found))
                 out["s1"].append(int(one.view(np.int64)))
                 out["s2"].append(int(two.view(np.int64)))
-                out["buckets"].append(band_keys(signature(found, bands * rows), bands, rows) if len(found) else [])
+                values = signature(found, bands * rows)
+                out["buckets"].append(band_keys(values, bands, rows) if len(found) else [])
+                out["bits"].append(low_bits(values))
+                out["octets"].append((values & np.uint64(0xFF)).astype(np.uint8).view(np.int8))
         return out
 
     rows_ = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return arrow_map(rows_, work, "doc_id long, n long, s1 long, s2 long, buckets array<long>")
+    return arrow_map(rows_, work, "doc_id long, n long, s1 long, s2 long, buckets array<long>, bits array<long>, octets array<tinyint>")
+
+
+def texts_of(ids: DataFrame, docs: DataFrame, key: str, text: str, most_broadcast: int = 4_000_000) -> DataFrame:
+    """(id, text) of the documents in ``ids``; so many ids are broadcast, which spares the other texts the shuffle."""
+    ids = stored(ids.distinct(), "ids")
+    side = broadcast(ids) if ids.count() <= most_broadcast else ids
+    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(side, "id")
+    return texts.groupBy("id").agg(F.min("text").alias("text"))
+
+
+def common_shingles(ids: DataFrame, docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
+    """(id, common): how many of a document's shingles any other document of ``ids`` has too."""
+
+    def work(batch: dict) -> dict:
+        sets = [s for at in _slices([len(t or "") for t in batch["text"]], 500_000) for s in shingle_sets(batch["text"][at], width)]
+        ids_ = np.repeat(np.array(batch["id"], np.int64), [len(s) for s in sets])
+        return {"id": ids_, "shingle": np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)}
+
+    rows = stored(arrow_map(texts_of(ids, docs, key, text), work, "id long, shingle long"), "shingles")
+    several = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
+    return rows.join(several, "shingle").groupBy("id").agg(F.count("*").alias("common"))
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(a, b, common, union_size) of (a, b) id pairs, from the full sets of both texts."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).join(ids, "id").groupBy("id").agg(F.min("text").alias("text"))
-    texts = stored(texts, "texts")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    texts = stored(texts_of(ids, docs, key, text), "texts")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
 
@@ -157,8 +202,8 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) of every row; links are pairs with 100 * common >= percent * union."""
     all_rows = stored(summaries(docs, width, bands, rows, key, text), "sets")
     full = all_rows.where("n > 0")
-    reps = stored(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("buckets").alias("buckets")), "representatives")
-    placed = reps.where("rep IS NOT NULL").select("rep", "n", F.explode("buckets").alias("bucket"))
+    reps = stored(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("buckets").alias("buckets"), F.first("bits").alias("bits"), F.first("octets").alias("octets")), "representatives")
+    placed = reps.where("rep IS NOT NULL").select("rep", "n", F.posexplode("buckets").alias("band", "bucket"))
     shared = placed.groupBy("bucket").agg(F.min("rep").alias("centre"), F.count("*").alias("size")).where("size > 1").select("bucket", "centre")
     members = stored(placed.join(shared, "bucket"), "members")
     judged = stored(confirm(members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct(), docs, width, key, text), "judged")
@@ -172,12 +217,24 @@ def near_duplicates(
     apart = named.join(open_.select("bucket", F.col("top.root").alias("main")), "bucket")
     apart = apart.join(judged.select(F.col("a").alias("rep"), F.col("b").alias("centre"), (1 - F.col("common") / F.col("union_size")).alias("far")), ["rep", "centre"], "left")
     apart = apart.withColumn("far", F.coalesce("far", F.lit(0.0))).withColumn("ring", F.floor(F.col("far") / reach).cast("int"))
-    apart = stored(apart.where("rep <> centre").select("bucket", "rep", "n", "root", "far", "ring", (F.col("root") == F.col("main")).alias("in_main")), "apart")
+    apart = stored(apart.where("rep <> centre").select("band", "bucket", "rep", "n", "root", "far", "ring", (F.col("root") == F.col("main")).alias("in_main")), "apart")
+    shared_part = common_shingles(apart.select(F.col("rep").alias("id")), docs, width, key, text).withColumnRenamed("id", "rep")
+    apart = apart.join(shared_part, "rep").where(f"100 * common >= {percent} * n")
+    apart = stored(apart.join(reps.select("rep", "bits", "octets", F.transform("buckets", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int")).alias("marks")), "rep"), "linkable")
     small = apart.where("NOT in_main").withColumn("ring", F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1)))
     x, y = small.alias("x"), apart.alias("y")
     near = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.ring") == F.col("y.ring")) & (F.col("x.root") != F.col("y.root"))
     near &= F.abs(F.col("x.far") - F.col("y.far")) <= reach + 1e-9
+    both = F.least("x.common", "y.common")
+    near &= 100 * both >= percent * (F.col("x.n") + F.col("y.n") - both)
+    longs = -(-bands * rows // 64)
+    unlike = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(longs)), F.lit(0))
+    near &= unlike <= most_unlike(bands * rows, percent / 100)
     near &= (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & (F.col("y.in_main") | (F.col("x.rep") < F.col("y.rep")))
+    alike = F.size(F.filter(F.zip_with("x.octets", "y.octets", lambda a, b: a == b), lambda same: same))
+    near &= alike >= least_alike(bands * rows, percent / 100)
+    # a pair that shares several buckets is made in the first of them
+    near &= F.array_position(F.zip_with("x.marks", "y.marks", lambda a, b: a == b), F.lit(True)) == F.col("x.band") + 1
     across = x.join(y, near).select(F.greatest("x.rep", "y.rep").alias("a"), F.least("x.rep", "y.rep").alias("b")).distinct()
     across = stored(across.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "across")
     more = stored(confirm(across, docs, width, key, text), "judged").where(f"100 * common >= {percent} * union_size").select("a", "b")
