@@ -94,7 +94,7 @@ EXPECTATIONS = """checks AS (
   UNION ALL SELECT update_id, 'risk_zone_lookup', 'postcode_not_null', id % 11, id % 2 FROM log WHERE kind = 'flow_progress' AND id % 4 <> 0),
 expectations AS (SELECT update_id, dataset, expectation, CAST(sum(passed) AS BIGINT) AS passing_records,
   CAST(sum(failed) AS BIGINT) AS failing_records FROM checks GROUP BY ALL)"""
-RUN_COLUMNS = """pipeline_id, pipeline_name, pipeline_update_id, CAST(start_time AS DATE) AS start_time, CAST(end_time AS DATE) AS end_time,
+RUN_COLUMNS = """pipeline_id, pipeline_name, pipeline_update_id, start_time, end_time,
   duration_seconds, pipeline_update_status"""
 
 
@@ -106,7 +106,7 @@ def runs(spark, folder):
     return e.update_runs(run_log(spark, folder), F.lit(NOW).cast("timestamp"))
 
 
-@query("log_update_runs", log_sql(f"SELECT {RUN_COLUMNS} FROM runs", RUNS))
+@query("log_update_runs", log_sql(f"SELECT {RUN_COLUMNS} FROM runs", RUNS), instants="timestamp_ntz")
 def _(spark, folder):
     return runs(spark, folder)
 
@@ -114,11 +114,11 @@ def _(spark, folder):
 @query(
     "log_flow_metrics",
     log_sql(
-        """SELECT pipeline_name, pipeline_id, update_id, table_name, CAST(start_timestamp AS DATE) AS start_timestamp,
-        CAST(end_timestamp AS DATE) AS end_timestamp, final_status, total_output_records, total_expectation_dropped_records,
+        """SELECT pipeline_name, pipeline_id, update_id, table_name, start_timestamp, end_timestamp, final_status, total_output_records, total_expectation_dropped_records,
         CAST(round(trunc(epoch_us(end_timestamp) / 1000.0 - epoch_us(start_timestamp) / 1000.0) / 1000.0) AS BIGINT) AS duration_seconds FROM flows""",
         FLOWS,
     ),
+    instants="timestamp_ntz",
 )
 def _(spark, folder):
     return e.flow_metrics(run_log(spark, folder))
@@ -132,9 +132,10 @@ def _(spark, folder):
 @query(
     "log_problem_events",
     log_sql(
-        """SELECT CAST(ts AS DATE) AS timestamp, level, kind AS event_type, message, pipeline_name, update_id, flow_name
+        """SELECT ts AS timestamp, level, kind AS event_type, message, pipeline_name, update_id, flow_name
         FROM log WHERE level IN ('ERROR', 'WARN')"""
     ),
+    instants="timestamp_ntz",
 )
 def _(spark, folder):
     return e.problem_events(run_log(spark, folder))

@@ -34,12 +34,17 @@ def _(spark, folder):
 
 @query(
     "typed_claims_strict",
-    with_raw(f"SELECT {CLAIM_COLUMNS}, {LINEAGE} FROM raw_claims WHERE NOT bad_loss_text AND incurred IS NOT NULL"),
+    with_raw(
+        f"""SELECT {CLAIM_COLUMNS}, {LINEAGE},
+        CASE WHEN NOT bad_loss_text AND incurred IS NOT NULL THEN 'strict' ELSE 'quarantine' END AS outcome FROM raw_claims"""
+    ),
 )
 def _(spark, folder):
-    # Strict typing fails on bad text, so the unparseable rows are kept out of its input.
-    raw = t.raw_claims(spark, folder).filter("date_of_loss <> 'not-a-date' AND incurred_amount <> 'N/A'")
-    return typed_claims(raw, mode=STRICT)
+    # Strict typing fails the job on bad text, so rows are judged first and only those that fit are typed strictly.
+    raw = t.raw_claims(spark, folder)
+    fits = F.expr("try_to_date(date_of_loss) IS NOT NULL AND try_cast(incurred_amount AS DOUBLE) IS NOT NULL")
+    strict = typed_claims(raw.filter(fits), mode=STRICT).withColumn("outcome", F.lit("strict"))
+    return strict.unionByName(typed_claims(raw.filter(~fits)).withColumn("outcome", F.lit("quarantine")))
 
 
 @query(

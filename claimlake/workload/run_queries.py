@@ -16,7 +16,7 @@ from claimlake.plans.flows import FlowRunner, FlowSpec
 from claimlake.plans.medallion import TableFolders, run_batch
 from claimlake.schemas import CLAIMS, PREMIUMS
 from claimlake.session import work_path
-from claimlake.sinks.upsert import Upsert, read_state
+from claimlake.sinks.upsert import Upsert, read_state, upsert
 from claimlake.sources.rescue import apply_hints
 from claimlake.sources.tables import stream_folder
 from claimlake.streaming import evolving, runs
@@ -223,18 +223,66 @@ def streamed_claims(spark, folder) -> DataFrame:
         f"""SELECT {m.CLAIM_COLUMNS} FROM raw_claims WHERE claim_id IS NOT NULL
         QUALIFY row_number() OVER (PARTITION BY claim_id, snapshot_date ORDER BY ingested DESC, policy_id DESC NULLS LAST,
           event_id DESC NULLS LAST, date_of_loss DESC NULLS LAST, reported_date DESC, peril_type DESC NULLS LAST, claim_status DESC,
-          incurred DESC NULLS LAST, paid DESC) = 1"""
+          incurred DESC NULLS LAST, paid DESC) = 1
+        UNION ALL SELECT {m.CLAIM_COLUMNS} FROM raw_claims WHERE claim_id IS NULL"""
     ),
 )
 def _(spark, folder):
-    """Typed snapshots merged by claim and date: the later ingest wins."""
+    """Typed snapshots merged by claim and date, the later ingest wins; rows without a key, which go to quarantine."""
     root = work_path(spark, "stream-upsert")
-    spec = Upsert(("claim_id", "snapshot_date"), "bronze_ingestion_timestamp", buckets=8, except_columns=("bronze_ingestion_timestamp",))
-    stream = typed_claims(t.derived_once(streamed_claims(spark, folder)).filter("claim_id IS NOT NULL")).drop("source_file_name")
-    runs.finish(runs.upsert_stream(stream, f"{root}/claims", f"{root}/checkpoint", spec))
+    order = "bronze_ingestion_timestamp"
+    spec = Upsert(("claim_id", "snapshot_date"), order, month_of="snapshot_date", except_columns=(order,))
+    stream = typed_claims(t.derived_once(streamed_claims(spark, folder))).drop("source_file_name")
+    keyed = runs.upsert_stream(stream.filter("claim_id IS NOT NULL"), f"{root}/claims", f"{root}/checkpoint", spec)
+    unkeyed = runs.append_to_folder(stream.filter("claim_id IS NULL"), f"{root}/quarantine", f"{root}/quarantine-checkpoint")
+    runs.finish(keyed)
+    runs.finish(unkeyed)
+    return read_state(spark, f"{root}/claims", spec).unionByName(spark.read.parquet(f"{root}/quarantine").drop(order))
+
+
+def _claim_changes(spark, folder) -> DataFrame:
+    """Claim snapshots with the columns an update may leave empty, ordered by snapshot date within a claim."""
+    return typed_claims(t.raw_claims(spark, folder)).filter("claim_id IS NOT NULL").select(
+        "claim_id", "policy_id", "event_id", "peril_type", "incurred_amount", F.struct("snapshot_date", "reported_date").alias("at")
+    )
+
+
+NEWEST = ", ".join(
+    f"arg_max({c}, (snapshot_date, reported_date, {c})) FILTER ({c} IS NOT NULL) AS {c}" for c in ("policy_id", "event_id", "peril_type")
+)
+
+
+@query(
+    "upsert_ignore_nulls",
+    with_raw(
+        f"""SELECT claim_id, {NEWEST}, arg_max(incurred, (snapshot_date, reported_date, incurred)) FILTER (incurred IS NOT NULL) / 100.0 AS incurred_amount
+        FROM (SELECT * REPLACE (split_part(claim_id, '-', 1) AS claim_id) FROM raw_claims WHERE claim_id IS NOT NULL) GROUP BY claim_id"""
+    ),
+)
+def _(spark, folder):
+    """Orders as claims: each column keeps its latest value that is not NULL, over batches that come newest first."""
+    root = work_path(spark, "upsert-nulls")
+    spec = Upsert(("claim_id",), "at", buckets=8, ignore_null_updates=True, except_columns=("at",))
+    changes = _claim_changes(spark, folder).withColumn("claim_id", F.split("claim_id", "-")[0])
+    for number, part in enumerate(("month(at.snapshot_date) > 6", "NOT coalesce(month(at.snapshot_date) > 6, FALSE)")):
+        upsert(changes.filter(part), f"{root}/claims", spec, number, "halves")
     return read_state(spark, f"{root}/claims", spec)
 
 
+@query(
+    "upsert_two_streams",
+    with_raw("SELECT claim_id, count(*) AS snapshots FROM (SELECT DISTINCT claim_id, snapshot_date FROM raw_claims WHERE claim_id IS NOT NULL) GROUP BY 1"),
+)
+def _(spark, folder):
+    """Two streams, each with its own checkpoint and so with the same batch numbers, into one type-1 table."""
+    root = work_path(spark, "upsert-two")
+    spec = Upsert(("claim_id", "snapshot_date"), "bronze_ingestion_timestamp", month_of="snapshot_date")
+    stream = typed_claims(t.derived_once(streamed_claims(spark, folder))).drop("source_file_name").filter("claim_id IS NOT NULL")
+    for name, part in (("odd", "crc32(encode(claim_id, 'UTF-8')) % 2 = 1"), ("even", "crc32(encode(claim_id, 'UTF-8')) % 2 = 0")):
+        runs.finish(runs.upsert_stream(stream.filter(part), f"{root}/claims", f"{root}/{name}", spec))
+    return read_state(spark, f"{root}/claims", spec).groupBy("claim_id").agg(F.count(F.lit(1)).alias("snapshots"))
+
+
 @query(
     "stream_clean_and_quarantine",
     with_raw(
@@ -266,17 +314,19 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    """Policies as CSV files, half of them with a further column elsewhere in the line, ingested in one run."""
+    """Policies as CSV files, ingested in two runs: the second finds files with a further column elsewhere in the line."""
     root = work_path(spark, "evolving")
     rows = t.raw_premiums(spark, folder)
     base = ["policy_id", "insurer_name", "postcode", "annual_premium", "policy_end_date"]
     odd = F.col("policy_id").cast("bigint") % 2 == 1
     rows.filter(odd).select(*base).write.option("header", True).csv(f"{root}/landing/premiums")
-    wider = rows.filter(~odd).select(F.col("region_name").alias("region_note"), *reversed(base))
-    wider.write.mode("append").option("header", True).csv(f"{root}/landing/premiums")
-    evolving.ingest_available_now(
+    ingest = lambda: evolving.ingest_available_now(
         spark, f"{root}/landing/premiums", f"{root}/bronze", f"{root}/schema", f"{root}/checkpoint", hints=PREMIUMS.hints
     )
+    ingest()
+    wider = rows.filter(~odd).select(F.col("region_name").alias("region_note"), *reversed(base))
+    wider.write.mode("append").option("header", True).csv(f"{root}/landing/premiums")
+    ingest()
     return evolving.read_ingested(spark, f"{root}/bronze").select(*base, "region_note", "_rescued_data")
 
 

@@ -51,25 +51,21 @@ def _stored_features(spark, folder):
     return spark.read.parquet(path)
 
 
-def _model(train):
-    return v.fit(train, trees=20, depth=6)
-
-
 @query("severity_model_quality")
 def _(spark, folder):
     train, held = v.holdout_split(_stored_features(spark, folder))
-    return v.evaluate(_model(train).transform(held))
+    return v.evaluate(v.fit(train).transform(held))
 
 
 @query("severity_largest_losses")
 def _(spark, folder):
     train, held = v.holdout_split(_stored_features(spark, folder))
-    return v.largest(v.compare_holdout(_model(train).transform(held)), v.LABEL)
+    return v.largest(v.compare_holdout(v.fit(train).transform(held)), v.LABEL)
 
 
 @query("severity_scores")
 def _(spark, folder):
     stored = _stored_features(spark, folder)
     path = work_path(spark, "severity-model")
-    v.save_model(_model(v.holdout_split(stored)[0]), path)
-    return v.batch_score(v.load_model(path), stored)
+    v.savev.fit(v.fit(v.holdout_split(stored)[0]), path)
+    return v.batch_score(v.loadv.fit(path), stored)

@@ -11,37 +11,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from claimlake.operators.latest import claims_current, unique_zones
 from claimlake.operators.projection import typed_claims, typed_events, typed_premiums, typed_zones
 from claimlake.operators.quality import claims_quality, events_quality, premiums_quality
 from claimlake.schemas import BUILDING_TYPES, PERIL_TYPES, RISK_BANDS
 
-_DESCRIBED: dict[str, tuple[T.StructType, int]] = {}
-
-
-def _described(spark: SparkSession, path: str) -> tuple[T.StructType, int]:
-    """Schema and number of splits of a table, looked up once."""
-    if path not in _DESCRIBED:
-        df = spark.read.parquet(path)
-        _DESCRIBED[path] = df.schema, df.rdd.getNumPartitions()
-    return _DESCRIBED[path]
-
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    path = f"{folder}/{table}.parquet"
-    return spark.read.schema(_described(spark, path)[0]).parquet(path)
-
-
-def spread(df: DataFrame, folder: str, table: str, key: str) -> DataFrame:
-    """Use all cores for a table of fewer splits than cores, such as a single small file.
-
-    Large tables come in enough splits and pass through untouched.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    return df if _described(spark, f"{folder}/{table}.parquet")[1] >= cores else df.repartition(cores, key)
+    return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
 def derived_once(df: DataFrame) -> DataFrame:
@@ -123,7 +101,6 @@ def raw_claims(spark: SparkSession, folder: str) -> DataFrame:
         "l_shipdate", "l_quantity", "l_extendedprice", "l_discount",
     )
     orders = read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    lines = spread(lines, folder, "lineitem", "l_orderkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(*CLAIM_TEXT)
 
 
@@ -169,9 +146,12 @@ def silver_events(spark: SparkSession, folder: str) -> DataFrame:
     return events_quality(typed_events(raw_events(spark, folder)))
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and instants as dates, so that two engines can be compared value by value."""
-    casts = {"decimal": "double", "timestamp": "date"}
+def comparable(df: DataFrame, instants: str = "date") -> DataFrame:
+    """Decimals as doubles and instants as ``instants``, so that two engines can be compared value by value.
+
+    Audit times are whole days in the derived tables, so a date holds them; a log's times keep their clock.
+    """
+    casts = {"decimal": "double", "timestamp": instants}
     return df.select(
         *[
             next((F.col(f"`{n}`").cast(to).alias(n) for prefix, to in casts.items() if kind.startswith(prefix)), F.col(f"`{n}`"))
