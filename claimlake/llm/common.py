@@ -115,7 +115,7 @@ def numbered_ranges(frame: DataFrame, key: str, parts: int, descending: bool = F
     number = F.col(key).cast("double")
     steps = [i / parts for i in range(1, parts)]
     found = frame.select(number.alias("key")).where("key IS NOT NULL").approxQuantile("key", steps, 0.2 / parts) if steps else []
-    bounds = sorted(set(found))
+    bounds = sorted(set(found)) or [0.0]
     splits = [float("-inf"), *bounds, float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="_key", outputCol="_bucket", handleInvalid="keep")
     ranged = bucketed.transform(frame.withColumn("_key", F.coalesce(number, F.lit(float("nan")))))

@@ -287,15 +287,17 @@ def repeated_spans(
 
         for batch in batches:
             for anchor, doc, first, lead, units in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if anchor != last and len(held) >= shard:
+                if (anchor, doc, first) == last:
+                    continue  # a document given twice
+                if last and anchor != last[0] and len(held) >= shard:
                     yield done()
                     held = []
-                last = anchor
+                last = (anchor, doc, first)
                 held.append({"id": doc, "first": first, "lead": lead, "units": np.frombuffer(units, dtype)})
         if held:
             yield done()
 
-    grouped = cut_out.where("units IS NOT NULL").select("anchor", "doc_id", "first", "lead", "units").repartition("anchor").sortWithinPartitions("anchor")
+    grouped = cut_out.where("units IS NOT NULL").select("anchor", "doc_id", "first", "lead", "units").repartition("anchor").sortWithinPartitions("anchor", "doc_id", "first")
     runs = grouped.mapInArrow(look, "doc_id long, first long, last long")
     every = whole.unionByName(runs)
     if len(crowded):
