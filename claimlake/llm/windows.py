@@ -202,10 +202,11 @@ def verdicts(docs: DataFrame, kind: Kind, crowded: np.ndarray, key: str = "doc_i
     return anchored(docs, kind, crowded, key, text).repartition("route").mapInArrow(loop, SEGMENT).drop("route")
 
 
-def crowded_anchors(docs: DataFrame, kind: Kind, key: str, text: str, share: float = 0.01, least: int = 20, most: int = 100_000, seed: int = 5) -> np.ndarray:
+def crowded_anchors(docs: DataFrame, kind: Kind, key: str, text: str, share: float = 0.01, least: int = 200, most: int = 100_000, seed: int = 5) -> np.ndarray:
     """The anchors met most often, ``least`` times or more, in a sample of ``share`` of the documents; at most ``most``.
 
-    At the default share that is an anchor in about 2,000 segments. It decides routes only, never results.
+    At the default share that is an anchor in about 20,000 segments, as many as one shard of the exact search may hold. It
+    decides routes only, never results.
     """
     sample = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).sample(share, seed)
 
