@@ -164,7 +164,8 @@ def anchored(docs: DataFrame, kind: Kind, crowded: np.ndarray, key: str, text: s
             state[fresh & many[group]] = CANDIDATE
         by_content = mix(rows["anchor"].view(np.uint64) ^ mix(rows["content"].view(np.uint64))).view(np.int64)
         hot = np.isin(rows["anchor"], shared.value)
-        route = np.where((state == REPEATED) | hot, by_content, rows["anchor"])
+        anywhere = mix(rows["doc_id"].view(np.uint64) ^ mix(rows["first"].view(np.uint64))).view(np.int64)  # a verdict meets nobody
+        route = np.where(state == REPEATED, anywhere, np.where(hot, by_content, rows["anchor"]))
         columns = [*(rows[n] for n in COLUMNS), state, route]
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, target, strict=True)], schema=target)
 
@@ -241,30 +242,32 @@ def repeated_spans(
     hot = docs.sparkSession.sparkContext.broadcast(set(crowded.tolist()))
     content = "anchor long, doc_id long, first long, lead int, units binary, one long, two long"
     content_type = _arrow_schema(docs.sparkSession, content)
+    dtype = np.uint8 if kind.units is byte_units else np.uint64
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {f.name: [] for f in content_type}
             size = 0
             for doc, value, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                units = kind.units(value)
+                raw = (value or "").encode("utf-8", "surrogatepass") if dtype is np.uint8 else None
+                units = kind.units(value) if raw is None or any(p["anchor"] in hot.value for p in places) else None
                 for place in places:
                     a, b = place["first"], place["last"] + window
-                    part = units[a:b]
+                    crowd = place["anchor"] in hot.value
+                    part = units[a:b] if crowd or raw is None else raw[a:b]
                     if len(part) < b - a:
                         continue  # another text under the same id
-                    if place["anchor"] in hot.value:
+                    if crowd:
                         lines = np.arange(b - a - window + 1)
                         one = slice_hash(running(part), lines, lines + window).view(np.int64)
                         two = slice_hash(running(part, SECOND), lines, lines + window, SECOND).view(np.int64)
                         rows = [(place["anchor"], doc, a + i, 0, None, int(x), int(y)) for i, (x, y) in enumerate(zip(one, two, strict=True))]
                     else:
-                        packed = part.astype(np.uint8) if kind.units is byte_units else part
-                        rows = [(place["anchor"], doc, a, place["lead"], packed.tobytes(), None, None)]
+                        rows = [(place["anchor"], doc, a, place["lead"], bytes(part) if raw is not None else part.tobytes(), None, None)]
                     for row in rows:
                         for name, item in zip(out, row, strict=True):
                             out[name].append(item)
-                    size += 8 * len(part)
+                    size += 8 * len(part) if crowd or raw is None else len(part) + 64
                 if size > 8_000_000:
                     yield pa.RecordBatch.from_pydict(out, schema=content_type)
                     out, size = {f.name: [] for f in content_type}, 0
@@ -274,7 +277,6 @@ def repeated_spans(
     cut_out = texts.mapInArrow(cut, content)
     if len(crowded):
         cut_out = stored(cut_out, "candidates")
-    dtype = np.uint8 if kind.units is byte_units else np.uint64
     run_type = _arrow_schema(docs.sparkSession, "doc_id long, first long, last long")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +296,8 @@ def repeated_spans(
                     yield done()
                     held = []
                 last = (anchor, doc, first)
-                held.append({"id": doc, "first": first, "lead": lead, "units": np.frombuffer(units, dtype)})
+                values = np.frombuffer(units, dtype)
+                held.append({"id": doc, "first": first, "lead": lead, "units": values + 1 if dtype is np.uint8 else values})
         if held:
             yield done()
 
