@@ -132,9 +132,15 @@ class FlowRunner:
         spec, quarantine = self.written[base], name != base
         suffix = "_quarantine" if quarantine and spec.keys else ""
         path = self.path(spec, suffix)
-        if suffix and not exists(self.spark, path):
-            return self._no_quarantine(spec)  # every row has been clean so far
-        df = self.spark.read.option("mergeSchema", True).parquet(path)
+        if suffix:
+            empty = self._no_quarantine(spec)
+            if not exists(self.spark, path):
+                return empty
+            # The schema is told: a folder without a bad row has no file to take it from.
+            judged = q.judge(self.read(base).limit(0), spec.rules).withColumn(BATCH, F.lit(""))
+            df = self.spark.read.schema(judged.schema).parquet(path)
+        else:
+            df = self.spark.read.option("mergeSchema", True).parquet(path)
         if spec.rules and (quarantine or not spec.keys):
             df = q.quarantine_of(df) if quarantine else q.kept_of(df)
         return df.drop("_part", BATCH, *spec.except_columns)

@@ -98,6 +98,14 @@ class AuditColumns:
 BATCH_AUDIT = AuditColumns("ingestion_timestamp", "source_file_name")
 STREAM_AUDIT = AuditColumns("_ingest_ts", "_source_file", "_rescued_data")
 
+# fixed values: the broker's fields and the names they have in bronze tables
+BROKER_FIELDS = {
+    "value": "_raw_value",
+    "topic": "_topic",
+    "partition": "_partition",
+    "offset": "_offset",
+    "timestamp": "_kafka_timestamp",
+}
 MESSAGE_AUDIT = {
     "_topic": "string",
     "_partition": "int",

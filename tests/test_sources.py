@@ -86,7 +86,7 @@ def test_messages_are_parsed_and_errors_named(spark):
     assert rows[0]._parse_error is None and rows[0].claim_id == "CLM-1"
     assert rows[0].date_of_loss == dt.date(2025, 2, 10) and str(rows[0].incurred_amount) == "1000.50"
     assert [rows[i]._parse_error for i in (1, 2, 3)] == ["invalid_json", "null_value", "invalid_json"]
-    assert rows[1].claim_id is None and rows[0]._topic == "test"
+    assert rows[1].claim_id is None and rows[0]._topic is None
     assert rows[4]._parse_error is None and rows[4].date_of_loss is None and rows[4].claim_id == "CLM-1"
 
 
@@ -106,3 +106,39 @@ def test_message_reader_contracts(spark):
     row = messages.read_messages(spark, "claims", rows=kafka).first()
     assert (row.claim_id, row._topic, row._partition, row._offset) == ("CLM-1", "claims", 3, 7)
     assert set(ENTITIES) == {"claims", "premiums", "risk_zones", "cyclone_events"}
+
+
+def test_csv_goes_by_header_and_names_may_not_clash(spark, tmp_path, database):
+    from claimlake.schemas import RISK_ZONES
+    from claimlake.sinks.tables import ingest_folder
+    from claimlake.sources.csv import read_csv_text
+
+    (tmp_path / "Risk Zones.csv").write_text("wind_risk_band,postcode,other\nT-W,4870,x\n")
+    row = read_csv_text(spark, str(tmp_path), RISK_ZONES.raw_schema()).first()
+    assert (row.postcode, row.wind_risk_band, row.region_name) == ("4870", "T-W", None)
+    (tmp_path / "risk-zones.csv").write_text("postcode\n1\n")
+    with pytest.raises(ValueError, match="bronze_risk_zones"):
+        ingest_folder(spark, str(tmp_path), database)
+
+
+def test_typed_dates_come_in_several_spellings(spark):
+    from claimlake.operators.projection import typed_claims
+    from tests.rows import raw
+
+    rows = raw(spark, "claims", {"date_of_loss": "2025/02/08", "reported_date": "02/17/2025"})
+    row = typed_claims(rows).first()
+    assert (row.date_of_loss, row.reported_date) == (dt.date(2025, 2, 8), dt.date(2025, 2, 17))
+
+
+def test_shared_folder_is_required_off_one_machine():
+    import types
+
+    from claimlake import session
+
+    def fake(master):
+        return types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda *a: ""), sparkContext=types.SimpleNamespace(master=master))
+
+    assert session.shared_folder(fake("local[4]"))
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(fake(master))

@@ -217,3 +217,98 @@ def test_change_feed_is_the_appended_rows(spark, tmp_path, database):
     feed = stream_changes(spark, source, rows.schema, ["claim_id", "try_cast(incurred_amount AS DECIMAL(18,2)) AS amount"])
     runs.finish(runs.append_to_table(feed, f"{database}.silver", str(tmp_path / "c")))
     assert {r.claim_id: r.amount for r in read_table(spark, f"{database}.silver").collect()}["C2"] is None
+
+
+def test_two_streams_and_new_checkpoints_lose_nothing(spark, tmp_path):
+    target = str(tmp_path / "t")
+    for name, row in (("one", ("a", "1", 1, 1)), ("two", ("b", "2", 2, 2)), ("three", ("c", "3", 3, 3))):
+        source = str(tmp_path / name)
+        changes(spark, row).write.parquet(source)
+        stream = stream_folder(spark, source, changes(spark, row).schema)
+        runs.finish(runs.upsert_stream(stream, target, str(tmp_path / f"{name}-check"), SPEC))
+    assert state(spark, target) == {"a": ("1", 1), "b": ("2", 2), "c": ("3", 3)}
+
+    landing, out = tmp_path / "in", str(tmp_path / "bronze")
+    land(landing, "a.csv", "4870,Cairns,T-W")
+    evolving.ingest_available_now(spark, str(landing), out, str(tmp_path / "schema"), str(tmp_path / "c1"))
+    land(tmp_path / "in2", "b.csv", "0800,Darwin,T-W")
+    evolving.ingest_available_now(spark, str(tmp_path / "in2"), out, str(tmp_path / "schema"), str(tmp_path / "c2"))
+    assert {r.region_name for r in evolving.read_ingested(spark, out).collect()} == {"Cairns", "Darwin"}
+
+
+def test_an_unpublished_slot_is_published_before_another_stream_writes(spark, tmp_path):
+    import shutil
+
+    target = str(tmp_path / "t")
+    upsert(changes(spark, *[(f"k{i}", "1", 1, 1) for i in range(8)]), target, SPEC, 0, "one")
+    (tmp_path / "t__staging_published").exists() and shutil.rmtree(tmp_path / "t__staging_published")
+    for part in (tmp_path / "t").glob("_part=*"):
+        shutil.rmtree(part)  # the crash came between the staging and the last partition
+    upsert(changes(spark, ("z", "1", 1, 1)), target, SPEC, 0, "two")
+    assert len(state(spark, target)) == 9
+
+
+def test_empty_updates_whatever_the_arrival_and_the_batching(spark, tmp_path):
+    import itertools
+
+    keep = Upsert(keys=("k",), sequence="seq", buckets=2, ignore_null_updates=True)
+    log = [("a", "1", 7, 1), ("a", None, None, 3), ("a", "2", None, 2)]
+    expected = {"a": ("2", 7)}
+    for n, order in enumerate(itertools.permutations(range(3))):
+        target = str(tmp_path / f"t{n}")
+        cut = n % 3
+        batches = [b for b in ([log[i] for i in order[:cut]], [log[i] for i in order[cut:]]) if b]
+        for number, rows in enumerate(batches):
+            upsert(changes(spark, *rows), target, keep, number)
+        assert state(spark, target, keep) == expected, (order, cut)
+        assert read_state(spark, target, keep).first().seq == 3
+
+
+def test_replayed_batch_keeps_its_counters(spark, tmp_path):
+    rows = changes(spark, ("a", "1", 1, 1))
+    first = upsert(rows, str(tmp_path / "t"), SPEC, 4, "s", lambda: {"rows": 1})
+    assert first == upsert(rows, str(tmp_path / "t"), SPEC, 4, "s", lambda: 1 / 0) == {"rows": 1}
+
+
+def test_blank_first_lines_and_blanks_in_file_names(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "bronze")
+    source.mkdir()
+    (source / "Risk Zones [new] 100%+.csv").write_text("\n\npostcode,region_name\n4870,Cairns\n")
+    evolving.ingest_available_now(spark, str(source), out, str(tmp_path / "schema"), str(tmp_path / "c"))
+    assert [(r.postcode, r.region_name) for r in evolving.read_ingested(spark, out).collect()] == [("4870", "Cairns")]
+
+
+def test_headers_in_another_order_fail_the_fixed_stream(spark, tmp_path):
+    land(tmp_path / "in", "a.csv", "T-W,4870,Cairns", header="wind_risk_band,postcode,region_name")
+    with pytest.raises(Exception):
+        runs.finish(runs.append_to_folder(stream_csv(spark, str(tmp_path / "in"), RISK_ZONES), str(tmp_path / "o"), str(tmp_path / "c")))
+
+
+def test_log_counts_rows_that_fail_any_hard_rule(spark, tmp_path):
+    source, log_path = str(tmp_path / "in"), str(tmp_path / "log")
+    df = spark.createDataFrame([(None, 1), ("a", -1), ("b", 2)], "k string, v int")
+    df.repartition(3).write.parquet(source)
+    rules = [quality.required("k"), quality.Rule("positive", "v > 0", quality.DROP)]
+    tap = runs.ProgressTap.attach(spark)
+    try:
+        kept = quality.expect(stream_folder(spark, source, df.schema, files_per_batch=1), rules, "two")
+        query = runs.finish(runs.append_to_folder(kept, str(tmp_path / "out"), str(tmp_path / "c")))
+        log = eventlog.RunLog(spark, log_path, "p", "claims")
+        runs.log_progress(query, log, "bronze_claims", rules, "two", tap)
+    finally:
+        tap.detach(spark)
+    log.finish("COMPLETED")
+    row = eventlog.flow_metrics(eventlog.read_log(spark, log_path)).first()
+    assert row.total_output_records == 1 == spark.read.parquet(str(tmp_path / "out")).count()
+    details = [json.loads(r.details) for r in eventlog.read_log(spark, log_path).collect() if r.details and "dropped_records" in r.details]
+    assert sum(d["flow_progress"]["data_quality"]["dropped_records"] for d in details) == 2
+
+
+def test_quarantine_of_a_clean_keyed_table_is_empty(spark, tmp_path):
+    from claimlake.plans.flows import FlowRunner, FlowSpec
+
+    changes(spark, ("a", "1", 1, 1)).write.parquet(str(tmp_path / "in"))
+    runner = FlowRunner(spark, str(tmp_path / "out"))
+    rule = quality.Rule("positive", "w > 0", quality.DROP)
+    runner.run([FlowSpec(name="t", source=str(tmp_path / "in"), source_format="parquet", mode="stream", rules=(rule,), keys=("k",), sequence="seq")])
+    assert runner.read("bronze_t").count() == 1 and runner.read("bronze_t_quarantine").count() == 0
