@@ -2,6 +2,7 @@
 
 from claimlake.workload import (  # noqa: F401
     dashboard_queries,
+    file_queries,
     log_queries,
     mart_queries,
     report_queries,
