@@ -11,7 +11,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlake.functions.casting import now_or
@@ -48,8 +48,8 @@ def seconds_between(start: Column, end: Column) -> Column:
 def update_runs(log: DataFrame, clock: Column | None = None) -> DataFrame:
     """Last status, start, end and duration of every run that was created.
 
-    A run without an end state ends now. Both sides are one aggregate per run, so a run with very many
-    events is combined before it moves.
+    A run without an end state ends now. The log is read once and added up per run and pipeline, so a run with very many
+    events is combined before it moves; the last state is chosen among those few rows.
     """
     rows = log.filter(F.col("event_type").isin(RUN_CREATED, RUN_PROGRESS)).select(
         "timestamp", "event_type", "origin.pipeline_id", "origin.pipeline_name",
@@ -57,29 +57,18 @@ def update_runs(log: DataFrame, clock: Column | None = None) -> DataFrame:
         F.from_json("details", RUN_DETAILS)["update_progress"]["state"].alias("state"),
     ).filter(F.col("pipeline_update_id").isNotNull())
     progress = F.col("event_type") == RUN_PROGRESS
-    status = (
-        rows.filter(progress)
-        .groupBy("pipeline_update_id")
-        .agg(F.max(F.struct("timestamp", "pipeline_id", "pipeline_name", "state")).alias("last"))
-        .select(
-            "pipeline_update_id", "last.pipeline_id", "last.pipeline_name",
-            F.col("last.state").alias("pipeline_update_status"),
-        )
-    )
     ended = progress & F.col("state").isin(*RUN_END_STATES)
-    durations = (
-        rows.groupBy("pipeline_id", "pipeline_name", "pipeline_update_id")
-        .agg(
-            F.min(F.when(F.col("event_type") == RUN_CREATED, F.col("timestamp"))).alias("start_time"),
-            F.coalesce(F.max(F.when(ended, F.col("timestamp"))), now_or(clock)).alias("end_time"),
-        )
-        .filter(F.col("start_time").isNotNull())
-        .drop("pipeline_name")
+    per_pipeline = rows.groupBy("pipeline_id", "pipeline_name", "pipeline_update_id").agg(
+        F.min(F.when(F.col("event_type") == RUN_CREATED, F.col("timestamp"))).alias("start_time"),
+        F.coalesce(F.max(F.when(ended, F.col("timestamp"))), now_or(clock)).alias("end_time"),
+        F.max(F.when(progress, F.struct("timestamp", "pipeline_id", "pipeline_name", "state"))).alias("last"),
     )
-    return status.join(durations, ["pipeline_id", "pipeline_update_id"]).select(
-        "pipeline_id", "pipeline_name", "pipeline_update_id", "start_time", "end_time",
+    latest = F.max("last").over(Window.partitionBy("pipeline_update_id"))
+    known = per_pipeline.withColumn("last", latest).filter((F.col("last.pipeline_id") == F.col("pipeline_id")) & F.col("start_time").isNotNull())
+    return known.select(
+        "pipeline_id", F.col("last.pipeline_name").alias("pipeline_name"), "pipeline_update_id", "start_time", "end_time",
         seconds_between(F.col("start_time"), F.col("end_time")).alias("duration_seconds"),
-        "pipeline_update_status",
+        F.col("last.state").alias("pipeline_update_status"),
     )
 
 

@@ -21,8 +21,12 @@ HIGH_NULL_PERCENT = 10.0
 
 
 def find_duplicates(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Groups of equal business rows seen more than once, most frequent first; NULLs are equal."""
-    return duplicate_groups(df, columns).orderBy(F.col("duplicate_count").desc())
+    """Groups of equal business rows seen more than once, most frequent first, ties by content; NULLs are equal.
+
+    Most groups share a count, so the order goes on with the content: a range of one count can be cut.
+    """
+    keys = list(columns or business_columns(df))
+    return duplicate_groups(df, keys).orderBy(F.col("duplicate_count").desc(), *keys)
 
 
 def top_duplicates(df: DataFrame, n: int, columns: Sequence[str] | None = None) -> DataFrame:
@@ -180,8 +184,9 @@ def key_uniqueness(df: DataFrame, key: str = "postcode") -> DataFrame:
 
 
 def exact_repeats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Lookup rows that appear more than once, most frequent first."""
-    return duplicate_groups(df, columns).withColumnRenamed("duplicate_count", "row_count").orderBy(F.col("row_count").desc())
+    """Lookup rows that appear more than once, most frequent first, ties by content."""
+    found = duplicate_groups(df, columns).withColumnRenamed("duplicate_count", "row_count")
+    return found.orderBy(F.col("row_count").desc(), *columns)
 
 
 def repeated_keys(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
@@ -199,8 +204,9 @@ def repeated_keys(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFra
 
 
 def conflicting_rows(df: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
-    """All rows of the keys that appear more than once, ordered by key; NULL keys match nothing."""
-    return df.join(repeated_keys(df, key, attributes).select(key), key, "left_semi").orderBy(key)
+    """All rows of the keys that appear more than once, ordered by key and content; NULL keys match nothing."""
+    rest = [c for c in df.columns if c != key]
+    return df.join(repeated_keys(df, key, attributes).select(key), key, "left_semi").orderBy(key, *rest)
 
 
 def null_issues(df: DataFrame, table: str, threshold: float = HIGH_NULL_PERCENT) -> DataFrame:
