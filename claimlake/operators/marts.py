@@ -243,6 +243,9 @@ def event_losses(claims: DataFrame, events: DataFrame, *, distinct: bool = False
     )
 
 
+SALTS = 32  # parts a postcode's policies are dealt to; the zones, one row a postcode, are repeated so often
+
+
 def portfolio_exposure(
     policies: DataFrame,
     zones: DataFrame | None = None,
@@ -254,7 +257,8 @@ def portfolio_exposure(
 
     Zones are counted per postcode before the join. A postcode listed twice then weighs its policies
     twice without fanning out. ``unique_policies`` states that no policy id repeats, which lets the
-    policies be added up per postcode before the join as well.
+    policies be added up per postcode before the join as well; otherwise a postcode's policies are dealt to
+    ``SALTS`` parts, as a few postcodes hold most of them.
     """
     weight = F.lit(1) if zones is None else F.col("zone_rows")
     insured, premium = F.col("sum_insured"), F.col("annual_premium")
@@ -274,7 +278,13 @@ def portfolio_exposure(
         )
         policy_count = F.count_distinct("policy_id")
     if zones is not None:
-        rows = rows.join(zones.groupBy("postcode").agg(F.count(F.lit(1)).alias("zone_rows")), "postcode")
+        listed = zones.groupBy("postcode").agg(F.count(F.lit(1)).alias("zone_rows"))
+        if unique_policies:
+            rows = rows.join(listed, "postcode")
+        else:
+            salted = listed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            rows = rows.withColumn("_salt", F.pmod(F.xxhash64("policy_id"), F.lit(SALTS)).cast("int"))
+            rows = rows.join(salted, ["postcode", "_salt"]).drop("_salt")
     total_insured = money_total(insured * weight)
     total_premium = money_total(premium * weight)
     return rows.groupBy(*keys).agg(
