@@ -24,8 +24,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from claimlake.llm.common import arrow_extend
-from claimlake.llm.language_mixture import _slices
+from claimlake.llm.common import arrow_extend, slices
 
 LONGEST = 200
 MOST_PIECES, MOST_WORDS = 300_000, 600_000
@@ -220,7 +219,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
         coder = bpe(path, pattern)
         ids: list[bytes] = []
         decoded: list[bytes] = []
-        for at in _slices([len(t or "") for t in batch[text]], 1_000_000):
+        for at in slices([len(t or "") for t in batch[text]], 1_000_000):
             part = coder.encode(batch[text][at])
             ids += part
             decoded += coder.decode(part)
@@ -235,7 +234,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, text: str = "te
     def work(batch: dict) -> dict:
         coder = bpe(path, pattern)
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for at in _slices([len(t or "") for t in batch[text]], 1_000_000):
+        for at in slices([len(t or "") for t in batch[text]], 1_000_000):
             ids = coder.encode(batch[text][at])
             out["n_tokens"] += [len(x) // 4 for x in ids]
             out["ids_sha256"] += [sha256(x).hexdigest() for x in ids]

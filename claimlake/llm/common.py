@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -130,8 +129,13 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def shared_json(spark: SparkSession, value: object, label: str) -> str:
-    """Write a small ``value`` as one JSON text below the shared folder."""
-    path = scratch(spark, label)
-    spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.text(path)
-    return path
+def slices(sizes: list[int], most: int) -> Iterator[slice]:
+    """Consecutive slices of at most ``most`` in sum, or of one item."""
+    first, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > first and total + size > most:
+            yield slice(first, i)
+            first, total = i, 0
+        total += size
+    if sizes:
+        yield slice(first, len(sizes))

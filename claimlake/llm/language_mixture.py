@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import arrow_extend, arrow_partitions
+from claimlake.llm.common import arrow_extend, arrow_partitions, slices
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -124,7 +124,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     def count(batches: Iterator[dict]) -> Iterator[dict]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for at in _slices([len(t or "") for t in batch["text"]], 300_000):
+            for at in slices([len(t or "") for t in batch["text"]], 300_000):
                 owner, bins, _ = trigram_bins(batch["text"][at])
                 names = np.array(batch["lang"][at], dtype=object)
                 for name in set(batch["lang"][at]):
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", rounds: int = 8,
 
     def work(batch: dict) -> dict:
         main, score, chosen = [], [], []
-        for at in _slices([len(t or "") for t in batch[text]], 300_000):
+        for at in slices([len(t or "") for t in batch[text]], 300_000):
             m, s, c = shared.value.infer(batch[text][at], rounds, penalty)
             main += m
             score += s
@@ -155,15 +155,3 @@ def predict(docs: DataFrame, model: Model, text: str = "text", rounds: int = 8,
         return {"lang_pred": main, "score": score, "languages": chosen}
 
     return arrow_extend(docs, [text], work, "lang_pred string, score double, languages string")
-
-
-def _slices(sizes: list[int], most: int) -> Iterator[slice]:
-    """Consecutive slices of at most ``most`` in sum, or of one item."""
-    first, total = 0, 0
-    for i, size in enumerate(sizes):
-        if i > first and total + size > most:
-            yield slice(first, i)
-            first, total = i, 0
-        total += size
-    if sizes:
-        yield slice(first, len(sizes))

@@ -25,8 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import broadcast
 
-from claimlake.llm.common import arrow_map, stored
-from claimlake.llm.language_mixture import _slices
+from claimlake.llm.common import arrow_map, slices, stored
 from claimlake.llm.words import mix, words_of
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -112,7 +111,7 @@ def summaries(docs: DataFrame, width: int, bands: int, rows: int, key: str = "do
 
     def work(batch: dict) -> dict:
         out: dict[str, list] = {"doc_id": batch["doc_id"], "n": [], "s1": [], "s2": [], "buckets": [], "bits": [], "octets": []}
-        for at in _slices([len(t or "") for t in batch["text"]], 500_000):
+        for at in slices([len(t or "") for t in batch["text"]], 500_000):
             for found in shingle_sets(batch["text"][at], width):
                 one, two = mix(found + GOLD).sum(dtype=np.uint64), mix(found ^ GOLD).sum(dtype=np.uint64)
                 out["n"].append(len(found))
@@ -140,7 +139,7 @@ def common_shingles(ids: DataFrame, docs: DataFrame, width: int, key: str, text:
     """(id, common): how many of a document's shingles any other document of ``ids`` has too."""
 
     def work(batch: dict) -> dict:
-        sets = [s for at in _slices([len(t or "") for t in batch["text"]], 500_000) for s in shingle_sets(batch["text"][at], width)]
+        sets = [s for at in slices([len(t or "") for t in batch["text"]], 500_000) for s in shingle_sets(batch["text"][at], width)]
         ids_ = np.repeat(np.array(batch["id"], np.int64), [len(s) for s in sets])
         return {"id": ids_, "shingle": np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)}
 

@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.llm.common import arrow_partitions, file_system, numbered_ranges, scratch, shuffle_parts
+from claimlake.llm.common import arrow_partitions, file_system, numbered_ranges, scratch, shuffle_parts, slices
 
 MAGIC = b"IDPLANE1"
 NO_ID = -(2**63)
@@ -42,7 +42,7 @@ class Encoder:
     """Ids of texts under a ``tokenizers`` file, remembered piece by piece; ids as little-endian unsigned 32-bit numbers."""
 
     # pieces in which the tokenizer's normal form may be more than lower case, or blanks may be read in another way
-    _hard = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0İΣ ᠎ -‏ -  -⁯　﻿]")
+    _hard = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\xa0\u0130\u03a3\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
     # fixed value: the split pattern of the tokenizer file
     _split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -201,8 +201,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, key: str = "
     last = np.array([end_id], "<u4").tobytes()
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        from claimlake.llm.language_mixture import _slices
-
+        
         coder = encoder(path)
         first = next(batches, None)
         while first is not None and not first["doc_id"]:
@@ -214,7 +213,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 1, key: str = "
         def coded() -> Iterator[tuple[int | None, bytes]]:
             batch = first
             while batch is not None:
-                for at in _slices([len(t or "") for t in batch["text"]], 2_000_000):
+                for at in slices([len(t or "") for t in batch["text"]], 2_000_000):
                     for key_, ids in zip(batch["doc_id"][at], coder.encode(batch["text"][at]), strict=True):
                         yield key_, ids + last
                 batch = next(batches, None)
