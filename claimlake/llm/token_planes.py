@@ -35,7 +35,7 @@ from claimlake.llm.common import arrow_partitions, file_system, numbered_ranges,
 
 MAGIC = b"IDPLANE1"
 NO_ID = -(2**63)
-MOST_PIECES = 400_000
+MOST_PIECES, MOST_WORDS = 600_000, 800_000
 
 
 class Encoder:
@@ -60,7 +60,7 @@ class Encoder:
         split = [(t or "").split(" ") for t in texts]
         if len(self.by_piece) > MOST_PIECES:
             self.by_piece.clear()
-        if len(self.by_word) > MOST_PIECES:
+        if len(self.by_word) > MOST_WORDS:
             self.by_word.clear()
         known = self.by_piece
         fresh = {p for pieces in split for p in pieces if p not in known}
@@ -70,11 +70,16 @@ class Encoder:
     def _learn(self, fresh: set[str]) -> None:
         hard, easy = [], {}
         for piece in fresh:
-            if self._hard.search(piece) or not unicodedata.is_normalized("NFC", piece):
+            if not (piece.isascii() and piece.isprintable()) and (self._hard.search(piece) or not unicodedata.is_normalized("NFC", piece)):
                 hard.append(piece)
+                continue
+            low = piece.lower()
+            if low.isalpha():
+                easy[piece] = [low]
+            elif low[:-1].isalpha() and low[-1] in ",.;:!?":
+                easy[piece] = [low[:-1], low[-1]]
             else:
-                low = piece.lower()
-                easy[piece] = [low] if low.isalpha() else self._split.findall(low)
+                easy[piece] = self._split.findall(low)
         self._learn_words({w for words in easy.values() for w in words if w not in self.by_word})
         known = self.by_word
         for piece, words in easy.items():
