@@ -67,5 +67,5 @@ def _(spark, folder):
 def _(spark, folder):
     stored = _stored_features(spark, folder)
     path = work_path(spark, "severity-model")
-    v.savev.fit(v.fit(v.holdout_split(stored)[0]), path)
-    return v.batch_score(v.loadv.fit(path), stored)
+    v.save_model(v.fit(v.holdout_split(stored)[0]), path)
+    return v.batch_score(v.load_model(path), stored)

@@ -32,3 +32,9 @@ def test_entry_runs(spark):
 def test_query_equals_its_sql(spark, name):
     problem = differences(spark, connect(str(DATA)), str(DATA), name, queries()[name], oracle_sql()[name])
     assert problem is None, problem
+
+
+def test_severity_scores_gives_every_feature_row(spark):
+    scored = queries()["severity_scores"](spark, str(DATA))
+    assert scored.count() == queries()["severity_features"](spark, str(DATA)).count() > 0
+    assert scored.where("predicted_ultimate IS NULL").count() == 0
