@@ -4,13 +4,16 @@ Terms are runs of letters and digits, lower-cased. The base lexicon keeps the te
 its lower edge is a share of all documents, so the lexicon holds at most (mean distinct terms of a document) / share terms
 however many documents there are, and that bound is checked before the lexicon is broadcast. Each of ``SUBSETS`` random
 lexicons keeps a term with a probability between 1/2 and 1/1024; the document's distinct terms in it are sorted and hashed.
+A base lexicon of more than 1024 terms has ``EACH`` further ones for every halving down to one term of it all, so that some
+speak about a document of any number of terms.
 
 A subset with no term of the document, or more than ``MOST`` of them, says nothing and has a dash in the fingerprint: one
 replaced word would change a hash over many terms, so each length of document is told by the subsets that fit it. Likeness is
 the share of subsets with equal hashes among those that say something about either document.
 
-Defined results: a null text counts as empty. A document without any term in the band is told by the hash of all its distinct
-terms (likeness 1 if equal, else 0); so are two empty ones, which are alike. Equal texts have equal fingerprints.
+Defined results: a null text counts as empty. A document about which no subset says anything, as without any term in the band,
+is told by the hash of all its distinct terms (likeness 1 if equal, else 0); so are two empty ones, which are alike. Equal texts
+have equal fingerprints.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql.functions import broadcast
 
 from claimlake.llm.common import arrow_partitions, numbered_ranges, shuffle_parts
 
-SUBSETS, CLASSES, MOST = 40, 10, 3
+SUBSETS, CLASSES, EACH, MOST = 40, 10, 4, 3
 _TERM = re.compile(r"\w+")
 
 
@@ -62,17 +65,20 @@ def document_frequency(docs: DataFrame, text: str = "text", most_held: int = 300
 
 
 class Lexicon:
-    """Sorted term hashes and, for each, the bit mask of the random lexicons that keep it."""
+    """Sorted term hashes and, for each, the packed bits of the random lexicons that keep it."""
 
     def __init__(self, hashes: np.ndarray, seed: int = 1):
         self.hashes = np.sort(hashes.astype(np.uint64))
-        self.masks = np.zeros(len(hashes), np.uint64)
-        for k in range(SUBSETS):
+        halvings = max(0, len(self.hashes) - 1).bit_length()
+        classes = [k % CLASSES for k in range(SUBSETS)] + [c for c in range(CLASSES, halvings) for _ in range(EACH)]
+        self.subsets = len(classes)
+        self.masks = np.zeros((len(self.hashes), (self.subsets + 7) // 8), np.uint8)
+        for k, c in enumerate(classes):
             mixed = (self.hashes ^ np.uint64((seed * SUBSETS + k + 1) * 0x9E3779B97F4A7C15 % 2**64)) * np.uint64(0xBF58476D1CE4E5B9)
             mixed ^= mixed >> np.uint64(31)
             mixed *= np.uint64(0x94D049BB133111EB)
-            kept = (mixed >> np.uint64(64 - 1 - k % CLASSES)) == 0
-            self.masks |= kept.astype(np.uint64) << np.uint64(k)
+            kept = (mixed >> np.uint64(64 - 1 - c)) == 0
+            self.masks[:, k // 8] |= kept.astype(np.uint8) << np.uint8(7 - k % 8)
 
     def fingerprint(self, text: str | None) -> str:
         words = terms(text)
@@ -83,16 +89,14 @@ class Lexicon:
             spot[spot == len(self.hashes)] = 0
             inside = self.hashes[spot] == found
         spots = np.sort(spot[inside])
-        if not len(spots):
-            return "all:" + blake2b("\n".join(sorted(words)).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
-        bits = (self.masks[spots][:, None] >> np.arange(SUBSETS, dtype=np.uint64)) & np.uint64(1) > 0
+        bits = np.unpackbits(self.masks[spots], axis=1, count=self.subsets).view(bool)
         size = bits.sum(axis=0)
-        parts = []
-        for k in range(SUBSETS):
-            if 0 < size[k] <= MOST:
-                parts.append(blake2b(self.hashes[spots[bits[:, k]]].tobytes(), digest_size=4).hexdigest())
-            else:
-                parts.append("-")
+        speaks = (size > 0) & (size <= MOST)
+        if not speaks.any():
+            return "all:" + blake2b("\n".join(sorted(words)).encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+        parts = ["-"] * self.subsets
+        for k in np.flatnonzero(speaks).tolist():
+            parts[k] = blake2b(self.hashes[spots[bits[:, k]]].tobytes(), digest_size=4).hexdigest()
         return ".".join(parts)
 
 

@@ -222,6 +222,23 @@ def test_fingerprints_and_edited_texts(docs_of, prose):
     assert imatch.fingerprints(docs_of().limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 3, 1000, 5000, 12_500, 40_000])
+def test_fingerprints_of_few_and_many_terms(n):
+    texts = [" ".join(f"{side}{i}" for i in range(n)) for side in "ab"]
+    lexicon = imatch.Lexicon(imatch._hashed(sorted(imatch.terms(" ".join(texts)))))
+    one, other = (lexicon.fingerprint(t) for t in texts)
+    assert imatch.likeness(one, one) == 1 and imatch.likeness(one, other) < 0.2
+    assert all(m.startswith("all:") or m.strip("-.") for m in (one, other))
+    if n >= 1000:
+        assert not one.startswith("all:") and imatch.likeness(one, lexicon.fingerprint(texts[0] + " b1")) > 0.6
+
+
+def test_single_terms_are_told_apart():
+    words = [f"w{i}" for i in range(3000)]
+    lexicon = imatch.Lexicon(imatch._hashed(words))
+    assert len({lexicon.fingerprint(w) for w in words}) == len(words)
+
+
 PAGE = (
     '<html><head><title>x</title></head><body><header><h1>Site</h1></header><nav><a href=x>a</a></nav><div id="content"><h1>Title here</h1>'
     "<p>This is a long sentence about things, with many words in it so that it is content.<p>Another &lt;one&gt; follows&nbsp;here &amp; ends."
