@@ -6,6 +6,10 @@ text, its length and its sentence marks. The score is its capacity to the source
 in reading order are joined by edges that weaken with the elements that lie between them, and so are successive blocks of one
 element. A maximum flow by augmenting paths gives the cheapest cut, and its source side is the main text.
 
+Tags such as nav, footer and aside exclude all within them. Classes, ids and roles, and forms, only cost ``NAMED``, until an
+article or main within them begins. One that holds two thirds of the page's text, and of what lies in articles and the like, is
+a wrapper round the page ('layout-with-sidebar'): it costs less the more it holds, and good names within it count.
+
 Character references are decoded; white space in a block becomes one blank; blocks are joined by line feeds. Scripts, styles,
 comments and other markup are no text. An unclosed comment or script runs to the end of the page, as in a browser.
 
@@ -32,18 +36,19 @@ _NAME = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr br label input".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 GOOD = frozenset("article main".split())
-BAD = frozenset("nav header footer aside form dialog menu head fieldset".split())
+BAD = frozenset("nav header footer aside dialog menu head".split())
+FORMS = frozenset("form fieldset".split())
 BAD_NAMES = frozenset(
     "nav navbar navigation menu menus header masthead topbar footer sidebar aside widget widgets ad ads advert adverts advertisement advertising "
     "sponsor sponsored promo promotion banner cookie cookies consent notice notices gdpr popup modal overlay form login signup subscribe newsletter "
     "comment comments disqus reply replies share sharing social related recommended breadcrumb breadcrumbs pagination pager toolbar copyright".split()
 )
 GOOD_NAMES = frozenset("article content main post entry story body text".split())
-HARD, SMOOTH = 1_000.0, 1.5
+HARD, NAMED, SMOOTH, WRAPS = 1_000.0, 4.0, 1.5, 2 / 3
 
 
 class _Element:
-    __slots__ = ("depth", "good", "owner", "tag")
+    __slots__ = ("chars", "cost", "depth", "good", "good_chars", "hard", "kind", "named", "owner", "tag", "within")
 
     def __init__(self, tag: str, attributes: str, owner: _Element | None):
         self.tag, self.owner = tag, owner
@@ -51,26 +56,41 @@ class _Element:
         names: set[str] = set()
         for m in _ATTRIBUTE.finditer(attributes) if "=" in attributes else ():
             names.update(_NAME.findall((m[2] or m[3] or m[4] or "").lower()))
-        bad = tag in BAD or bool(names & BAD_NAMES)
-        good = tag in GOOD or (not bad and bool(names & GOOD_NAMES))
-        inside = owner.good if owner else 0
-        if tag == "header" and inside and not names & BAD_NAMES:
+        bad = tag in BAD
+        if tag == "header" and owner and owner.within:
             bad = False  # an article's own header holds its heading
-        # -1: within an element of another kind; 1 or 2: within an article, by name or by tag
-        if owner and owner.good < 0:
-            self.good = -1
-        elif tag in ("body", "html"):
-            self.good = 0
-        elif bad:
+        self.hard = bad or bool(owner and owner.hard)
+        self.named = tag not in ("body", "html", "main") and (tag in FORMS or bool(names & BAD_NAMES))
+        self.kind = 2 if tag in GOOD else 1 if names & GOOD_NAMES and tag not in ("body", "html") else 0
+        # within: 1 in an article by name or by tag, as far as can be told before the texts are known
+        self.within = int(self.kind > 0 and not self.named) or (owner.within if owner and not self.named else 0)
+        self.good, self.cost, self.chars, self.good_chars = 0, 0.0, 0, 0
+
+    def settle(self, chars: int, good_chars: int) -> None:
+        """``good`` (-1: within an element of another kind; 1 or 2: within an article, by name or by tag) and ``cost``."""
+        owner = self.owner
+        if self.hard:
             self.good = -1
-        else:
-            self.good = max(inside, 2 if tag in GOOD else 1 if good else 0)
+            return
+        inside, cost = (owner.good, owner.cost) if owner else (0, 0.0)
+        kind = self.kind
+        if self.named:
+            wraps = self.chars >= WRAPS * chars and self.good_chars >= WRAPS * good_chars
+            cost = max(cost, NAMED * (1 - self.chars / chars) if wraps and chars else NAMED)
+            if not wraps:
+                inside = kind = 0
+        elif kind == 2:
+            cost = 0.0
+        elif cost >= NAMED:
+            kind = 0  # a comment's text is no article
+        self.good, self.cost = max(inside, kind), cost
 
 
 def blocks(html: str) -> list[tuple[str, int, str, _Element]]:
     """(text, characters in links, tag, element) of every block with text, in page order."""
     found: list[tuple[str, int, str, _Element]] = []
     stack = [_Element("", "", None)]
+    made = stack[:]  # owners first
     parts: list[str] = []
     linked, in_link, tag = 0, 0, ""
 
@@ -116,9 +136,20 @@ def blocks(html: str) -> list[tuple[str, int, str, _Element]]:
             tag = name
             if name not in VOID:
                 stack.append(_Element(name, mark[4] or "", stack[-1]))
+                made.append(stack[-1])
     if at < len(html):
         parts.append(html[at:])
     close()
+    for text, _, _, element in found:
+        if not element.hard:
+            element.chars += len(text)
+            element.good_chars += len(text) if element.within else 0
+    for element in reversed(made[1:]):
+        element.owner.chars += element.chars
+        element.owner.good_chars += element.good_chars
+    chars, good_chars = made[0].chars, made[0].good_chars
+    for element in made:
+        element.settle(chars, good_chars)
     return found
 
 
@@ -129,7 +160,7 @@ def score(text: str, linked: int, tag: str, element: _Element) -> float:
     share = linked / len(text)
     words = text.count(" ") + 1
     value = (0.0, 2.0, 4.0)[element.good] - 4.0 * share
-    value += min(2.0, words / 20)
+    value += min(2.0, words / 20) - element.cost
     if text[-1] in ".!?…\"”»:":
         value += 0.5
     if tag in ("p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6"):

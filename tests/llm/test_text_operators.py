@@ -257,6 +257,30 @@ def test_main_text_of_pages(spark):
     assert html_cut.extract(pages.limit(0)).count() == 0
 
 
+ARTICLE = "<h1>The title of it</h1>" + "<p>This is a long sentence about things, with many words in it so that it is content of the page.</p>" * 6
+BESIDE = '<div class="sidebar"><p>Some links and words that stand beside.</p></div><footer><p>All rights are reserved by us.</p></footer>'
+
+
+@pytest.mark.parametrize("wrapper", [
+    "<div class='layout-with-sidebar'><article>{}</article>{}</div>", "<div class='layout-with-sidebar'>{}{}</div>",
+    "<div id='content-sidebar-wrap'><div class='content'>{}</div>{}</div>", "<main class='has-comments'>{}</main>{}",
+    "<form action='x'><div>{}</div>{}</form>", "<form><main>{}</main>{}</form>", "<article class='post has-comments'>{}</article>{}",
+    "<div class='promo'><article>{}</article></div><div id='content'><p>Short.</p></div>{}",
+])
+def test_badly_named_wrappers_keep_their_article(wrapper):
+    text = html_cut.main_text("<html><body><nav><a href=x>Home of it</a></nav>" + wrapper.format(ARTICLE, BESIDE) + "</body></html>")
+    neutral = html_cut.main_text("<html><body><nav><a href=x>Home of it</a></nav><div>" + ARTICLE + BESIDE + "</div></body></html>")
+    assert text.count("This is a long sentence") == neutral.count("This is a long sentence") == 6
+    assert "The title of it" in text or "The title of it" not in neutral
+    assert "beside" not in text and "reserved" not in text and "Home" not in text
+
+
+def test_long_comments_beside_an_article_are_left_out():
+    page = "<div id='content'>" + ARTICLE + "</div><div class='comments'>" + "<div class='comment-body'><p>" + "I think so too. " * 90 + "</p></div></div><aside><article><p>Other things entirely.</p></article></aside>"
+    text = html_cut.main_text(page)
+    assert text.count("This is a long sentence") == 6 and "I think" not in text and "Other" not in text
+
+
 def test_minimum_cut_is_the_cheapest():
     rng = random.Random(4)
     for _ in range(30):
