@@ -2,7 +2,7 @@
 
 A language is a smoothed distribution over letter trigrams, hashed into ``BUCKETS`` bins and counted over all labelled
 training rows. A document's proportions come from expectation-maximisation on its trigram counts; the set of languages is
-the one, among the nested sets of likeliest languages, whose likelihood less a penalty per language is greatest.
+the one, among the nested sets of likeliest languages up to all of them, whose likelihood less a penalty per language is greatest.
 
 Defined results: a null text, an empty one and one without a letter give ``und`` with score 0. Without any training row,
 every document is ``und``. Ties go to the language first in order. A null id is neither held out nor learned from.
@@ -88,7 +88,7 @@ class Model:
         order = np.argsort(-full, axis=1, kind="stable")
         best = np.full(len(present), -np.inf)
         share = np.zeros_like(full)
-        for size in range(1, min(width, 3) + 1):
+        for size in range(1, width + 1):
             allowed = np.zeros_like(full, bool)
             np.put_along_axis(allowed, order[:, :size], True, axis=1)
             part = allowed.astype(np.float32) if size == 1 else self._fit(density, weight, total, start, local, allowed, rounds)
