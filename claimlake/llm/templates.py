@@ -6,7 +6,7 @@ more with names replaced if it holds one, so that a passage in capitals is found
 those of the benchmark; items of fewer tokens (``least`` or more) are matched whole. Windows that follow one another in both
 texts form a run. A run counts if it has ``tokens_needed`` tokens, or covers its whole item, and if the values in its
 placeholders correspond one to one: the same item value always to the same value of the document, and the other way round.
-Values that differ mark a re-parameterised question.
+Values that differ mark a re-parameterised question. Where they do not correspond, the verbatim stretches of the run count.
 
 The benchmark's windows are broadcast if there are at most ``most_broadcast`` of them, else the join shuffles. Hashes only
 find candidates: the tokens of a run are compared themselves before it counts.
@@ -18,6 +18,7 @@ item_id matches like any other and is returned as null. Other columns are ignore
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,6 +94,29 @@ def benchmark_windows(benchmark: DataFrame, width: int, least: int) -> tuple[Dat
     return reduce(DataFrame.union, parts).select("item_id", "size", "wide", F.col("w.place").alias("at"), F.col("w.hash").alias("hash")), [*shorter, width]
 
 
+def slots_of(pairs: str) -> Column:
+    return F.array_distinct(F.filter(pairs, lambda p: p["kind"] != ""))
+
+
+def corresponds(pairs: str, slots: str) -> Column:
+    """Whether all pairs match and the values of their placeholders correspond one to one."""
+    owns = F.array_distinct(F.transform(slots, lambda p: F.struct(p["own"], p["kind"])))
+    its = F.array_distinct(F.transform(slots, lambda p: F.struct(p["its"], p["kind"])))
+    return ~F.exists(pairs, lambda p: p["kind"].isNull()) & (F.size(slots) == F.size(owns)) & (F.size(slots) == F.size(its))
+
+
+def ends(pairs: str, breaks: Callable[[Column], Column]) -> Column:
+    """The places of the pairs that break a run, with one before the first and one after the last."""
+    places = F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: breaks(F.get(pairs, i)))
+    return F.concat(F.array(F.lit(-1)), places, F.array(F.size(pairs)))
+
+
+def between(pairs: str, ends_: str, need: Column) -> Column:
+    """The stretches of ``pairs`` between neighbouring ends, of ``need`` tokens or more."""
+    one = lambda k: F.slice(pairs, F.get(ends_, k - 1) + 2, F.get(ends_, k) - F.get(ends_, k - 1) - 1)
+    return F.filter(F.transform(F.sequence(F.lit(1), F.size(ends_) - 1), one), lambda p: F.size(p) >= need)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: int = 4, tokens_needed: int = 13, most_broadcast: int = 2_000_000) -> DataFrame:
     """(doc_id, item_id, n_tokens, coverage, n_slots, changed_slots): the longest run of each item in each document it is in."""
     found, widths = benchmark_windows(benchmark, width, least)
@@ -124,14 +148,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 8, least: i
             .when((F.lower(i) != i) & ((F.lower(o) != o) | (F.lower(o) == F.lower(i))), NAME).when(F.lower(o) == F.lower(i), "").alias("kind"),
         ),
     )
-    lined = lined.withColumn("pairs", pair).where(~F.exists("pairs", lambda p: p["kind"].isNull()))
-    lined = lined.withColumn("slots", F.array_distinct(F.filter("pairs", lambda p: p["kind"] != "")))
-    n = F.size("slots")
-    owns = F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["own"], p["kind"]))))
-    its_ = F.size(F.array_distinct(F.transform("slots", lambda p: F.struct(p["its"], p["kind"]))))
-    one_to_one = lined.where((n == owns) & (n == its_))
-    best = one_to_one.select(
-        "doc_id", "item_id", "n_tokens", (F.col("n_tokens") / F.col("size")).alias("coverage"), n.alias("n_slots"),
+    lined = lined.withColumn("pairs", pair).withColumn("slots", slots_of("pairs")).withColumn("whole", corresponds("pairs", "slots"))
+    need = F.least("size", F.lit(tokens_needed))
+    split = lined.where(~F.col("whole")).withColumn("differing", ends("pairs", lambda p: p["kind"].isNull() | (p["own"] != p["its"])))
+    split = split.withColumn("pairs", F.explode(between("pairs", "differing", need)))
+    split = split.withColumn("slots", slots_of("pairs"))
+    columns = ("doc_id", "item_id", "size", "pairs", "slots")
+    judged = lined.where("whole").select(*columns).unionByName(split.select(*columns)).withColumn("n_tokens", F.size("pairs"))
+    best = judged.select(
+        "doc_id", "item_id", "n_tokens", (F.col("n_tokens") / F.col("size")).alias("coverage"), F.size("slots").alias("n_slots"),
         F.size(F.filter("slots", lambda p: p["own"] != p["its"])).alias("changed_slots"),
     )
     top = F.max(F.struct("n_tokens", (-F.col("changed_slots")).alias("same"), "n_slots", "coverage", "changed_slots")).alias("top")
