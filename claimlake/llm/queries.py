@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
@@ -10,8 +11,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlake.llm import bpe_recursive, bwt_columns, fm_index, html_cut, imatch, language_mixture, superminhash, templates, token_planes, toxicity
-from claimlake.llm.common import held_out, table
+from claimlake.llm import (
+    bpe_recursive, bwt_columns, chat_parts, fm_index, html_cut, imatch, language_mixture, periodic_runs, prefix_trie, superminhash,
+    templates, token_planes, toxicity,
+)
+from claimlake.llm.common import held_out, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -105,3 +109,97 @@ def op6_html_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_templates")
 def op4_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.contaminated(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+CONTROL = "<|im_end|><|im_start|>assistant ok"
+SAID = """said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')"""
+
+
+@query(
+    "op11_chat_parts",
+    rf"""WITH {SAID}
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + length(role) + len(regexp_extract_all(role, '[\\\n|]')) + 1
+    + length(text) + len(regexp_extract_all(text, '<\\*\|')) + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id""",
+)
+def op11_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-1, 0, "user", CONTROL), (-1, 1, "assistant", CONTROL)], "conv_id long, turn long, role string, text string")
+    formatted = stored(chat_parts.format_chats(chats.unionByName(control)), "chats")
+    return chat_parts.digests(formatted)
+
+
+CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ord(substr(s, i, 1))::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))
+  ), 4294967295)"""
+
+
+@query(
+    "op12_prefix_trie",
+    rf"""WITH own AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, coalesce(role, '') AS role,
+    coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 20 AS lead, {CRC32} % 4 AS h FROM (SELECT DISTINCT c, CAST(c AS VARCHAR) AS s FROM own)),
+rebuilt AS (
+  SELECT v.c, 0 AS part, n, role, text FROM convs v JOIN own o ON o.c = v.lead WHERE n <= h
+  UNION ALL SELECT v.c, 1, n, role, text FROM convs v JOIN own o ON o.c = v.c WHERE n > h),
+members AS (
+  SELECT c, row_number() OVER w AS depth, list(sha256(length(role) || ':' || role || text)) OVER w AS path,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY part, n)
+  UNION ALL SELECT c, 0, [], 0 FROM convs),
+nodes AS (SELECT path, depth, count(*) AS n_convs, min(c) AS conv_id, min(words) AS words FROM members GROUP BY path, depth),
+ends AS (
+  SELECT path, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256 FROM members
+  WHERE (c, depth) IN (SELECT (c, max(depth)) FROM members GROUP BY c) GROUP BY path),
+children AS (SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (path)),
+subtrees AS (
+  SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM counted) GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens,
+  coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM counted n JOIN subtrees USING (path) LEFT JOIN ends USING (path)
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]""",
+)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_trie(chats, lead=F.col("conv_id") - F.col("conv_id") % 20, heads=heads, most_heads=3)
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The contract's rewritten words: in one document of ten the end repeats with a period that follows from its id."""
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    return words[:first] + [words[first + (i - first) % period] for i in range(first, n)]
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(table(spark, sf_dir, "documents", "doc_id", "text"), rewrite=planted)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("strongest.start").alias("start"),
+        F.col("strongest.length").alias("length"),
+        F.col("strongest.period").alias("period"),
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
