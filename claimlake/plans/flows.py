@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from claimlake.operators import quality as q
 from claimlake.operators.eventlog import RunLog, expectation_entries
 from claimlake.operators.projection import select_expressions, substitute
-from claimlake.sinks.upsert import Upsert, upsert
+from claimlake.sinks.merge_table import MergeTable
+from claimlake.sinks.upsert import Upsert
 from claimlake.sources.paths import exists
 from claimlake.streaming.runs import AVAILABLE_NOW, finish, stream_identity
 
@@ -115,6 +116,10 @@ class FlowRunner:
     def path(self, spec: FlowSpec, suffix: str = "") -> str:
         return f"{self.root.rstrip('/')}/{spec.layer}/{spec.name}{suffix}"
 
+    def merge_table(self, spec: FlowSpec) -> MergeTable:
+        """The table of a type-1 specification."""
+        return MergeTable(self.spark, self.path(spec), spec.upsert_spec())
+
     def run(self, specs: Sequence[FlowSpec]) -> dict[str, FlowSpec]:
         state = "FAILED"
         try:
@@ -139,6 +144,8 @@ class FlowRunner:
             # The schema is told: a folder without a bad row has no file to take it from.
             judged = q.judge(self.read(base).limit(0), spec.rules).withColumn(BATCH, F.lit(""))
             df = self.spark.read.schema(judged.schema).parquet(path)
+        elif spec.keys:
+            df = self.merge_table(spec).read()
         else:
             df = self.spark.read.option("mergeSchema", True).parquet(path)
         if spec.rules and (quarantine or not spec.keys):
@@ -217,15 +224,14 @@ class FlowRunner:
         seen = Observation()
         observed = df.observe(seen, *q.flow_counts(spec.rules))
         judged = q.judge(observed, spec.rules) if spec.rules else observed
-        layout = spec.upsert_spec()
-        if layout is None:
+        if not spec.keys:
             self._replace(judged, self.path(spec), spec, batch_id, stream)
             return seen.get
         if not spec.rules:
-            return upsert(judged, self.path(spec), layout, batch_id, stream, lambda: seen.get)
+            return self.merge_table(spec).upsert(judged, batch_id, stream, lambda: seen.get)
         judged = judged.persist()
         try:
-            counts = upsert(q.kept_of(judged), self.path(spec), layout, batch_id, stream, lambda: seen.get)
+            counts = self.merge_table(spec).upsert(q.kept_of(judged), batch_id, stream, lambda: seen.get)
             if spec.quarantine:
                 bad = judged.filter(F.col(q.VERDICT) != q.CLEAN)
                 self._replace(bad, self.path(spec, "_quarantine"), spec, batch_id, stream)

@@ -8,7 +8,9 @@ The merged partitions are first written to a staging slot and from there moved i
 slot says whose batch it holds: the stream's identity and the batch number, as numbers alone repeat with every new
 checkpoint. Whoever comes next, the same stream or another, first publishes a slot that was left unpublished, so a
 half-replaced table is always repaired from whole data. Merging is idempotent: a batch that comes again changes nothing.
-One writer at a time may work on a target.
+One writer at a time may work on a target. A reader that comes while partitions are replaced may see some old and some new, or
+miss one; ``merge_table`` has tables whose readers always see a whole version, and whose batches write no more than they hold.
+This layout is for consumers that read a plain partitioned folder without the library.
 """
 
 from __future__ import annotations
@@ -37,8 +39,11 @@ class Upsert:
     month_of: str | None = None
     ignore_null_updates: bool = False
     except_columns: tuple[str, ...] = ()
+    deleted: str = ""  # predicate of the rows that delete their key; merge tables only
 
     def __post_init__(self) -> None:
+        if self.deleted and self.ignore_null_updates:
+            raise ValueError("a row that deletes its key stands as a whole, so null updates cannot be ignored beside it")
         if self.month_of and self.month_of not in self.keys:
             raise ValueError("the layout must follow from the key, or one key could sit in two partitions")
 

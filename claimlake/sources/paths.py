@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,3 +29,43 @@ def decoded(path: Column) -> Column:
 def literal(path: str) -> str:
     """A path whose brackets, braces and stars are not read as a pattern."""
     return "".join("\\" + c if c in "[]{}*?\\" else c for c in path)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in files.listStatus(target)) if files.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    opened = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place as a whole, or not at all: False if something has that name already.
+
+    It is written under a hidden name and renamed, which the file system does in one step.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    hidden = jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{uuid.uuid4().hex}")
+    files = target.getFileSystem(conf)
+    out = files.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    no_overwriting = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), conf).rename(hidden, target, no_overwriting)
+    except Py4JJavaError:
+        files.delete(hidden, False)
+        if files.exists(target):
+            return False
+        raise
+    return True

@@ -7,10 +7,12 @@ import threading
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from claimlake.operators.eventlog import RunLog, expectation_entries
 from claimlake.operators.quality import Rule, clean_from_raw, quarantine_from_raw
+from claimlake.sinks.merge_table import CHANGE, COMMIT, INSERT, MergeTable
 from claimlake.sinks.upsert import Upsert, upsert
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -67,6 +69,57 @@ def upsert_stream(
     return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
 
 
+def merge_stream(
+    stream: DataFrame,
+    table: MergeTable,
+    checkpoint: str,
+    *,
+    trigger: Mapping | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+    compact_after: int = 32,
+) -> StreamingQuery:
+    """Commit every batch of a stream to a merge table; partitions with ``compact_after`` deltas are compacted in between."""
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        identity = stream_identity(batch.sparkSession, checkpoint)
+        table.upsert(prepare(batch) if prepare else batch, batch_id, identity)
+        table.compact(compact_after)
+
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
+
+
+Handler = Callable[[DataFrame, str, int], None]
+
+
+def change_stream(
+    table: MergeTable, checkpoint: str, handle: Handler, *, trigger: Mapping | None = None, versions_per_batch: int = 1000
+) -> StreamingQuery:
+    """Follow a merge table: its new versions, as a stream of its manifests, and what they changed.
+
+    ``handle`` gets the changes of some consecutive versions, the identity of the stream and the last of the versions. After a
+    failure the same versions come again. A stream that begins when older versions are gone first gets the oldest one left as
+    inserts.
+    """
+    commits = table.spark.readStream.schema("version bigint").option("pathGlobFilter", "*.json")
+    commits = commits.option("maxFilesPerTrigger", versions_per_batch).json(f"{table.root}/commits")
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        first, last = batch.agg(F.min("version"), F.max("version")).first()
+        if first is None:
+            return
+        known = table.versions()
+        if first - 1 in known or known[0] == 1:
+            changes = table.changes(first - 1, last)
+        else:
+            changes = table.read(first).select(F.lit(INSERT).alias(CHANGE), F.lit(first).alias(COMMIT), "*")
+            changes = changes.unionByName(table.changes(first, last), allowMissingColumns=True)
+        handle(changes, stream_identity(table.spark, checkpoint), last)
+
+    writer = commits.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or AVAILABLE_NOW)).start()
+
+
 def split_stream(
     raw: DataFrame, key: str, clean: str, quarantine: str, checkpoint: str, *, error: str = "_rescued_data",
     label: str | None = "rescued_data", trigger: Mapping | None = None,

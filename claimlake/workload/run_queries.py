@@ -16,7 +16,8 @@ from claimlake.plans.flows import FlowRunner, FlowSpec
 from claimlake.plans.medallion import TableFolders, run_batch
 from claimlake.schemas import CLAIMS, PREMIUMS
 from claimlake.session import work_path
-from claimlake.sinks.upsert import Upsert, read_state, upsert
+from claimlake.sinks.merge_table import MergeTable
+from claimlake.sinks.upsert import Upsert
 from claimlake.sources.rescue import apply_hints
 from claimlake.sources.tables import stream_folder
 from claimlake.streaming import evolving, runs
@@ -233,11 +234,12 @@ def _(spark, folder):
     order = "bronze_ingestion_timestamp"
     spec = Upsert(("claim_id", "snapshot_date"), order, month_of="snapshot_date", except_columns=(order,))
     stream = typed_claims(t.derived_once(streamed_claims(spark, folder))).drop("source_file_name")
-    keyed = runs.upsert_stream(stream.filter("claim_id IS NOT NULL"), f"{root}/claims", f"{root}/checkpoint", spec)
+    table = MergeTable(spark, f"{root}/claims", spec)
+    keyed = runs.merge_stream(stream.filter("claim_id IS NOT NULL"), table, f"{root}/checkpoint")
     unkeyed = runs.append_to_folder(stream.filter("claim_id IS NULL"), f"{root}/quarantine", f"{root}/quarantine-checkpoint")
     runs.finish(keyed)
     runs.finish(unkeyed)
-    return read_state(spark, f"{root}/claims", spec).unionByName(spark.read.parquet(f"{root}/quarantine").drop(order))
+    return table.read().unionByName(spark.read.parquet(f"{root}/quarantine").drop(order))
 
 
 def _claim_changes(spark, folder) -> DataFrame:
@@ -263,10 +265,11 @@ def _(spark, folder):
     """Orders as claims: each column keeps its latest value that is not NULL, over batches that come newest first."""
     root = work_path(spark, "upsert-nulls")
     spec = Upsert(("claim_id",), "at", buckets=8, ignore_null_updates=True, except_columns=("at",))
+    table = MergeTable(spark, f"{root}/claims", spec)
     changes = _claim_changes(spark, folder).withColumn("claim_id", F.split("claim_id", "-")[0])
     for number, part in enumerate(("month(at.snapshot_date) > 6", "NOT coalesce(month(at.snapshot_date) > 6, FALSE)")):
-        upsert(changes.filter(part), f"{root}/claims", spec, number, "halves")
-    return read_state(spark, f"{root}/claims", spec)
+        table.upsert(changes.filter(part), number, "halves")
+    return table.read()
 
 
 @query(
@@ -277,10 +280,87 @@ def _(spark, folder):
     """Two streams, each with its own checkpoint and so with the same batch numbers, into one type-1 table."""
     root = work_path(spark, "upsert-two")
     spec = Upsert(("claim_id", "snapshot_date"), "bronze_ingestion_timestamp", month_of="snapshot_date")
+    table = MergeTable(spark, f"{root}/claims", spec)
     stream = typed_claims(t.derived_once(streamed_claims(spark, folder))).drop("source_file_name").filter("claim_id IS NOT NULL")
     for name, part in (("odd", "crc32(encode(claim_id, 'UTF-8')) % 2 = 1"), ("even", "crc32(encode(claim_id, 'UTF-8')) % 2 = 0")):
-        runs.finish(runs.upsert_stream(stream.filter(part), f"{root}/claims", f"{root}/{name}", spec))
-    return read_state(spark, f"{root}/claims", spec).groupBy("claim_id").agg(F.count(F.lit(1)).alias("snapshots"))
+        runs.finish(runs.merge_stream(stream.filter(part), table, f"{root}/{name}"))
+    return table.read().groupBy("claim_id").agg(F.count(F.lit(1)).alias("snapshots"))
+
+
+# Order lines as changes of one claim per order, in three batches that do not follow the sequence; a claim of unknown status is
+# withdrawn until a later snapshot brings it back.
+
+
+def _batched_changes(spark, folder) -> DataFrame:
+    at = F.struct("snapshot_date", "reported_date", "line")
+    lines = typed_claims(t.derived_once(t.raw_claims(spark, folder))).filter("claim_id IS NOT NULL")
+    lines = lines.withColumns({"line": F.split("claim_id", "-")[1].cast("int"), "claim_id": F.split("claim_id", "-")[0]})
+    return lines.select("claim_id", "policy_id", "claim_status", "incurred_amount", at.alias("at"), (F.col("line") % 3).alias("batch"))
+
+
+DIFF = """
+log AS (SELECT split_part(claim_id, '-', 1) AS claim_id, policy_id, claim_status, incurred, CAST(split_part(claim_id, '-', 2) AS INTEGER) AS line,
+  snapshot_date, reported_date FROM raw_claims WHERE claim_id IS NOT NULL),
+states AS (
+  SELECT v.version, l.* FROM log l, (VALUES (1), (2), (3)) v(version) WHERE l.line % 3 < v.version
+  QUALIFY row_number() OVER (PARTITION BY version, claim_id ORDER BY snapshot_date DESC NULLS LAST, reported_date DESC NULLS LAST, line DESC) = 1),
+alive AS (SELECT * FROM states WHERE claim_status <> 'Unknown'),
+pairs AS (
+  SELECT coalesce(o.version + 1, n.version) AS version, coalesce(o.claim_id, n.claim_id) AS claim_id, o, n
+  FROM alive o FULL JOIN alive n ON o.claim_id = n.claim_id AND n.version = o.version + 1),
+diff AS (
+  SELECT version, claim_id, unnest(CASE
+    WHEN o.claim_id IS NULL THEN [{'kind': 'insert', 'row': n}] WHEN n.claim_id IS NULL THEN [{'kind': 'delete', 'row': o}]
+    WHEN (o.policy_id, o.claim_status, o.incurred) IS DISTINCT FROM (n.policy_id, n.claim_status, n.incurred)
+      THEN [{'kind': 'update_preimage', 'row': o}, {'kind': 'update_postimage', 'row': n}] END) AS change
+  FROM pairs WHERE version <= 3)"""
+
+
+@query(
+    "stream_change_feed_updates",
+    with_raw(
+        """SELECT CAST(version AS BIGINT) AS _commit_version, change.kind AS _change_type, claim_id, change.row.policy_id AS policy_id,
+        change.row.claim_status AS claim_status, change.row.incurred / 100.0 AS incurred_amount FROM diff""",
+        DIFF,
+    ),
+)
+def _(spark, folder):
+    """The change feed of a rewritten table, followed by a stream in two runs: inserts, updates before and after, deletes."""
+    root = work_path(spark, "change-feed")
+    table = MergeTable(spark, f"{root}/claims", CHANGED_CLAIMS)
+    batches = _batched_changes(spark, folder)
+    take = lambda changes, stream, version: changes.write.mode("overwrite").parquet(f"{root}/feed/upto={stream}-{version:012d}")
+    for number in range(3):
+        table.upsert(batches.filter(F.col("batch") == number).drop("batch"), number, "lines")
+        if number != 1:  # the second run finds two versions
+            runs.finish(runs.change_stream(table, f"{root}/checkpoint", take))
+    return spark.read.parquet(f"{root}/feed").drop("upto")
+
+
+CHANGED_CLAIMS = Upsert(("claim_id",), "at", buckets=8, except_columns=("at",), deleted="claim_status = 'Unknown'")
+
+
+@query(
+    "merge_table_versions",
+    with_raw(
+        """SELECT CAST(version AS BIGINT) AS version, claim_status, count(*) AS claims, sum(incurred) / 100.0 AS incurred_amount
+        FROM (SELECT version, claim_status, incurred FROM alive WHERE version < 3
+          UNION ALL SELECT unnest([3, 4]), claim_status, incurred FROM alive WHERE version = 3)
+        GROUP BY 1, 2""",
+        DIFF,
+    ),
+)
+def _(spark, folder):
+    """Every version of a merge table as it was read: three batches, each one delta, and a compaction that changes no row."""
+    root = work_path(spark, "merge-versions")
+    table = MergeTable(spark, f"{root}/claims", CHANGED_CLAIMS)
+    batches = _batched_changes(spark, folder)
+    for number in range(3):
+        table.upsert(batches.filter(F.col("batch") == number).drop("batch"), number, "lines")
+    table.compact()
+    read = [table.read(v).withColumn("version", F.lit(v).cast("bigint")) for v in table.versions()]
+    every = reduce(DataFrame.unionByName, read)
+    return every.groupBy("version", "claim_status").agg(F.count(F.lit(1)).alias("claims"), F.sum("incurred_amount").alias("incurred_amount"))
 
 
 @query(
