@@ -6,7 +6,9 @@ the leftmost pair of the lowest rank, until no pair is left. Ids of a match are
 Decoding joins (document, place, id) rows with the vocabulary and gathers the bytes of each document in order of place.
 
 Matches of more than ``LONGEST`` bytes are contracted by the same rule with a heap: the recursion needs a round for each
-contraction and reads the whole word in each, which is quadratic.
+contraction and reads the whole word in each, which is quadratic. For the same reason words go to the database in batches whose
+squared lengths add up to ``MOST_ROWS`` at most, which bounds the rows of all rounds together by half of that; a batch that
+runs out of memory all the same is cut in two.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. Strings of special tokens are ordinary text.
 Repeated rows give repeated results; columns beyond those named are ignored.
@@ -27,7 +29,9 @@ from pyspark.sql import DataFrame
 from claimlake.llm.common import arrow_extend, slices
 
 LONGEST = 200
-MOST_PIECES, MOST_WORDS = 300_000, 600_000
+MOST_ROWS = 8_000_000
+MOST_PIECES, MOST_WORDS = 500_000, 700_000
+SLICE = 2_000_000  # characters encoded at once
 
 CONTRACT = """
 WITH RECURSIVE step(round, word, place, token) AS (
@@ -84,6 +88,7 @@ class Bpe:
             self.database.execute(f"SET {setting}")
         entries, numbers = list(self.ranks), list(self.ranks.values())
         self.bytes_of = dict(zip(numbers, entries, strict=True))
+        self.letter = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
         self._load("vocabulary", {"id": pa.array(numbers, pa.int32()), "bytes": pa.array(entries, pa.binary())})
         one, other, merged = [], [], []
         for entry, number in self.ranks.items():
@@ -140,19 +145,30 @@ class Bpe:
                 self.word_ids[word] = np.array(self._with_heap(raw), "<u4").tobytes()
             else:
                 rest.append((word, raw))
-        letter = np.array([self.ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
-        for at in range(0, len(rest), 20_000):
-            part = rest[at : at + 20_000]
-            lengths = np.array([len(raw) for _, raw in part])
-            token = letter[np.frombuffer(b"".join(raw for _, raw in part), np.uint8)]
-            word = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
-            place = (np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
-            self._load("letters", {"word": pa.array(word), "place": pa.array(place), "token": pa.array(token)})
+        for at in slices([len(raw) ** 2 for _, raw in rest], MOST_ROWS):
+            self._contract_batch(rest[at])
+
+    def _contract_batch(self, part: list[tuple[str, bytes]]) -> None:
+        import duckdb
+
+        lengths = np.array([len(raw) for _, raw in part])
+        token = self.letter[np.frombuffer(b"".join(raw for _, raw in part), np.uint8)]
+        word = np.repeat(np.arange(len(part), dtype=np.int32), lengths)
+        place = (np.arange(len(token)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
+        self._load("letters", {"word": pa.array(word), "place": pa.array(place), "token": pa.array(token)})
+        try:
             found = self.database.execute(CONTRACT).fetchnumpy()
-            ids, owner = np.asarray(found["token"]).astype("<u4"), np.asarray(found["word"])
-            edges = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
-            flat = ids.tobytes()
-            self.word_ids.update((w, flat[a:b]) for (w, _), a, b in zip(part, edges[:-1].tolist(), edges[1:].tolist(), strict=True))
+        except duckdb.OutOfMemoryException:
+            if len(part) == 1:
+                raise
+            half = len(part) // 2
+            self._contract_batch(part[:half])
+            self._contract_batch(part[half:])
+            return
+        ids, owner = np.asarray(found["token"]).astype("<u4"), np.asarray(found["word"])
+        edges = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
+        flat = ids.tobytes()
+        self.word_ids.update((w, flat[a:b]) for (w, _), a, b in zip(part, edges[:-1].tolist(), edges[1:].tolist(), strict=True))
 
     def _with_heap(self, raw: bytes) -> list[int]:
         """The same contraction in O(n log n): pairs wait in a heap by (rank, place)."""
@@ -219,7 +235,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text: str = "text") ->
         coder = bpe(path, pattern)
         ids: list[bytes] = []
         decoded: list[bytes] = []
-        for at in slices([len(t or "") for t in batch[text]], 1_000_000):
+        for at in slices([len(t or "") for t in batch[text]], SLICE):
             part = coder.encode(batch[text][at])
             ids += part
             decoded += coder.decode(part)
@@ -234,7 +250,7 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str, text: str = "te
     def work(batch: dict) -> dict:
         coder = bpe(path, pattern)
         out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
-        for at in slices([len(t or "") for t in batch[text]], 1_000_000):
+        for at in slices([len(t or "") for t in batch[text]], SLICE):
             ids = coder.encode(batch[text][at])
             out["n_tokens"] += [len(x) // 4 for x in ids]
             out["ids_sha256"] += [sha256(x).hexdigest() for x in ids]

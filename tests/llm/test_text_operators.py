@@ -25,8 +25,9 @@ def test_planes_hold_the_library_ids(spark, prose, docs_of):
 
     path = vocabulary("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
-    texts = awkward_texts()
+    rng = random.Random(6)
+    texts = awkward_texts() + ["".join(chr(rng.choice([rng.randrange(32, 0xD800), rng.randrange(0x10000, 0x20000), rng.randrange(32, 127)])) for _ in range(8)) for _ in range(4000)]
+    texts += ["a <|endoftext|> b", "x<|startoftext|><|endoftext|>y", "<|ENDOFTEXT|>", "\u2445\U00019154", "\U00018fd8!", "\U0001df46\u2445"]
     expected = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
     assert token_planes.Encoder(path).encode(texts) == expected
 
@@ -68,6 +69,32 @@ def test_recursive_bpe_equals_the_library(docs_of):
         assert bytes(row.decoded) == text.encode() and row.n_tokens == len(row.ids) // 4
 
 
+@pytest.mark.parametrize("letters, length", [("abcdefghij", 60), ("\u4e00\u4e8c\u4e09\u56db\u4e94\u516d\u4e03\u516b", 20), ("ab", 190)])
+def test_many_distinct_long_words(letters, length):
+    import public_tokenizers
+    import tiktoken
+
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe_recursive.read_ranks(path), special_tokens={})
+    rng = random.Random(length)
+    text = " ".join("".join(rng.choice(letters) for _ in range(length)) for _ in range(20_000 if length < 100 else 1_000))
+    coder = bpe_recursive.Bpe(path, public_tokenizers.PATTERN)
+    found = coder.encode([text])
+    assert found == [np.array(library.encode_ordinary(text), "<u4").tobytes()] and coder.decode(found) == [text.encode()]
+
+
+def test_a_batch_out_of_memory_is_cut(monkeypatch):
+    import public_tokenizers
+
+    coder = bpe_recursive.Bpe(vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    words = [f"{i:x}" * 12 for i in range(3000)]
+    expected = coder.encode([" ".join(words)])
+    coder = bpe_recursive.Bpe(vocabulary("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    monkeypatch.setattr(bpe_recursive, "MOST_ROWS", 1 << 60)
+    coder.database.execute("SET memory_limit = '30MB'")
+    assert coder.encode([" ".join(words)]) == expected
+
+
 def brute_words(rows, window):
     split = {i: (t or "").encode().split() for i, t in rows if i is not None}
     counts = {}
