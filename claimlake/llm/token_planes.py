@@ -7,10 +7,11 @@ block, or any document, from the index alone. Files are written under a temporar
 ascending ``doc_id``: a task that runs again writes the same file again.
 
 ``Encoder`` gives the tokenizer's own ids but works on pieces between blanks, which it remembers: most pieces of a corpus
-recur. Pieces whose normal form could differ (composed letters, unusual blanks, letters with special lower case) always go
-through the library themselves.
+recur. Pieces whose normal form could differ (composed letters, unusual blanks, letters with special lower case, characters that
+not every version of Unicode knows) and those that hold a special token always go through the library themselves.
 
-Defined results: a null or empty text has only the end id. Strings of special tokens are ordinary text. Rows of one
+Defined results: a null or empty text has only the end id. Strings of special tokens are what the library's call gives for
+them. Rows of one
 ``doc_id`` follow one another in order of their text; null ids come last.
 """
 
@@ -24,6 +25,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import regex
@@ -36,6 +38,19 @@ from claimlake.llm.common import arrow_partitions, file_system, numbered_ranges,
 MAGIC = b"IDPLANE1"
 NO_ID = -(2**63)
 MOST_PIECES, MOST_WORDS = 600_000, 800_000
+TOGETHER = 500  # pieces looked through at once
+SIGNS = frozenset(",.;:!?")
+
+
+@lru_cache(maxsize=1)
+def recent() -> re.Pattern:
+    """Characters that Unicode 3.2 did not have, or that take more than 16 bits: classes of later ones depend on the version a
+    library was built with."""
+    category = unicodedata.ucd_3_2_0.category
+    unknown = [category(chr(c)) == "Cn" for c in range(0x10000)] + [True]
+    edges = [c for c in range(0x10001) if unknown[c] != (c > 0 and unknown[c - 1])] + [0x110000]
+    spans = zip(edges[::2], edges[1::2], strict=False)
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in spans) + "]")
 
 
 class Encoder:
@@ -50,7 +65,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._special = re.compile("|".join(special)) if special else None
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.by_piece: dict[str, bytes] = {}
@@ -63,29 +79,46 @@ class Encoder:
         if len(self.by_word) > MOST_WORDS:
             self.by_word.clear()
         known = self.by_piece
-        fresh = {p for pieces in split for p in pieces if p not in known}
-        self._learn(fresh)
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
-
-    def _learn(self, fresh: set[str]) -> None:
-        hard, easy = [], {}
-        for piece in fresh:
-            if not (piece.isascii() and piece.isprintable()) and (self._hard.search(piece) or not unicodedata.is_normalized("NFC", piece)):
-                hard.append(piece)
-                continue
-            low = piece.lower()
-            if low.isalpha():
-                easy[piece] = [low]
-            elif low[:-1].isalpha() and low[-1] in ",.;:!?":
-                easy[piece] = [low[:-1], low[-1]]
-            else:
-                easy[piece] = self._split.findall(low)
-        self._learn_words({w for words in easy.values() for w in words if w not in self.by_word})
+        found = [list(map(known.get, pieces)) for pieces in split]
+        missing = [[i for i, ids in enumerate(of_text) if ids is None] for of_text in found]
+        self._learn(list({pieces[i] for pieces, spots in zip(split, missing, strict=True) for i in spots}))
+        for pieces, of_text, spots in zip(split, found, missing, strict=True):
+            for i in spots:
+                of_text[i] = known[pieces[i]]
+        return [b"".join(of_text) for of_text in found]
+
+    def _learn(self, fresh: list[str]) -> None:
+        hard: list[str] = []
+        single: dict[str, str] = {}
+        ended: dict[str, str] = {}  # one word and a sign
+        mixed: dict[str, list[str]] = {}
+        for at in range(0, len(fresh), TOGETHER):
+            part = fresh[at : at + TOGETHER]
+            if self._goes_to_the_library(" ".join(part)):
+                hard += [p for p in part if self._goes_to_the_library(p)]
+                part = [p for p in part if not self._goes_to_the_library(p)]
+            for piece, low in zip(part, " ".join(part).lower().split(" "), strict=True) if part else ():
+                if low.isalpha():
+                    single[piece] = low
+                elif low[-1:] in SIGNS and low[:-1].isalpha():
+                    ended[piece] = low
+                else:
+                    mixed[piece] = self._split.findall(low)
+        words = {*single.values(), *(low[:-1] for low in ended.values()), *(SIGNS if ended else ()), *chain.from_iterable(mixed.values())}
+        self._learn_words(words.difference(self.by_word))
         known = self.by_word
-        for piece, words in easy.items():
-            self.by_piece[piece] = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
-        for piece, ids in zip(hard, self._library(hard), strict=True):
-            self.by_piece[piece] = ids
+        self.by_piece.update(zip(single, map(known.__getitem__, single.values()), strict=True))
+        self.by_piece.update((piece, known[low[:-1]] + known[low[-1]]) for piece, low in ended.items())
+        self.by_piece.update((piece, b"".join(map(known.__getitem__, found))) for piece, found in mixed.items())
+        self.by_piece.update(zip(hard, self._library(hard), strict=True))
+
+    def _goes_to_the_library(self, piece: str) -> bool:
+        """Of a piece, or of several with blanks between them, of which one does."""
+        if self._special and self._special.search(piece):
+            return True
+        if piece.isascii() and piece.isprintable():
+            return False
+        return bool(self._hard.search(piece) or recent().search(piece)) or not unicodedata.is_normalized("NFC", piece)
 
     def _learn_words(self, fresh: set[str]) -> None:
         """Many words in one text: the last id of each word is one that ends a word."""
