@@ -85,7 +85,11 @@ def _paid_share() -> Column:
 def claims_summary(claims: DataFrame, policies: DataFrame, *, distinct: bool = False) -> DataFrame:
     """Frequency, severity and settlement by peril, status and policy risk; orphans keep NULL risk."""
     by_policy = claim_subtotals(claims, ["policy_id", "peril_type", "claim_status"], distinct)
-    joined = _with_policy(by_policy, policies, ["region_name", "wind_risk_band", "building_type"])
+    return claims_summary_of(_with_policy(by_policy, policies, ["region_name", "wind_risk_band", "building_type"]), distinct)
+
+
+def claims_summary_of(joined: DataFrame, distinct: bool = False) -> DataFrame:
+    """The mart from sub-totals that have their policy's attributes."""
     return joined.groupBy("peril_type", "claim_status", "region_name", "wind_risk_band", "building_type").agg(
         _claim_count(distinct),
         *_money_columns(),
@@ -147,8 +151,13 @@ def policy_loss_ratio(
     policies: DataFrame, claims: DataFrame, *, keys: Sequence[str] = RISK_KEYS, distinct: bool = False
 ) -> DataFrame:
     """Loss ratio with each premium counted once: the default reading."""
+    return policy_ratios_of(_policy_level(policies, claims, keys, distinct), keys)
+
+
+def policy_ratios_of(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Loss ratios from totals by ``keys``."""
     incurred, premium = F.col("total_incurred"), F.col("total_premium")
-    return _policy_level(policies, claims, keys, distinct).select(
+    return totals.select(
         *keys,
         "policy_count",
         "total_premium",
@@ -162,9 +171,16 @@ def policy_loss_ratio(
 
 def risk_band_performance(policies: DataFrame, claims: DataFrame, *, distinct: bool = False) -> DataFrame:
     """Claim frequency and loss ratio by risk band and region."""
-    keys = ["wind_risk_band", "region_name"]
-    return _policy_level(policies, claims, keys, distinct).select(
-        *keys,
+    return risk_bands_of(_policy_level(policies, claims, BAND_KEYS, distinct))
+
+
+BAND_KEYS = ("wind_risk_band", "region_name")
+
+
+def risk_bands_of(totals: DataFrame) -> DataFrame:
+    """Frequency and loss ratio from totals by risk band and region."""
+    return totals.select(
+        *BAND_KEYS,
         "policy_count",
         "total_premium",
         "claim_count",
@@ -204,7 +220,11 @@ def event_loss_summary(
     The category follows from the claim naming an event, known or not. ``extended`` adds the known event
     id and the counts by status, and names claims without a known event.
     """
-    totals = _event_totals(claims, policies, events, distinct)
+    return event_summary_of(_event_totals(claims, policies, events, distinct), extended, distinct)
+
+
+def event_summary_of(totals: DataFrame, extended: bool = False, distinct: bool = False) -> DataFrame:
+    """The mart from sub-totals that have their event's and region's attributes."""
     keys = ["claim_category", "event_name", "event_start", "event_end", "event_duration_days", "region_name", "peril_type"]
     status_counts: list[Column] = []
     if extended:
@@ -302,7 +322,11 @@ def claims_development(claims: DataFrame, policies: DataFrame, *, distinct: bool
     months = {"loss_month": "date_of_loss", "reported_month": "reported_date"}
     dated = claims.withColumns({name: F.date_trunc("month", F.col(day)) for name, day in months.items()})
     by_policy = claim_subtotals(dated, ["policy_id", "peril_type", "loss_month", "reported_month"], distinct)
-    joined = _with_policy(by_policy, policies, ["region_name", "wind_risk_band"])
+    return development_of(_with_policy(by_policy, policies, ["region_name", "wind_risk_band"]), distinct)
+
+
+def development_of(joined: DataFrame, distinct: bool = False) -> DataFrame:
+    """The mart from dated sub-totals that have their policy's attributes."""
     return joined.groupBy("peril_type", "region_name", "wind_risk_band", "loss_month", "reported_month").agg(
         _claim_count(distinct),
         F.round(F.sum("lag_days") / F.nullif(F.sum("n_lags"), F.lit(0)), 1).alias("avg_reporting_lag_days"),

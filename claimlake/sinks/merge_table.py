@@ -295,8 +295,9 @@ class MergeTable:
 
 def _widened(old: T.StructType, new: T.StructType) -> T.StructType:
     """The columns of both; a column may be new, but not of another type."""
-    known = {f.name: f for f in old.fields}
+    known = {f.name: f.dataType.simpleString() for f in old.fields}
     for f in new.fields:
-        if f.name in known and known[f.name].dataType != f.dataType:
-            raise ValueError(f"column {f.name} is {known[f.name].dataType.simpleString()}, not {f.dataType.simpleString()}")
-    return T.StructType([*old.fields, *[T.StructField(f.name, f.dataType, True) for f in new.fields if f.name not in known]])
+        if known.get(f.name, f.dataType.simpleString()) != f.dataType.simpleString():
+            raise ValueError(f"column {f.name} is {known[f.name]}, not {f.dataType.simpleString()}")
+    added = [T.StructField(f.name, T.StructType.fromDDL(f"x {f.dataType.simpleString()}")["x"].dataType) for f in new.fields if f.name not in known]
+    return T.StructType([*old.fields, *added])  # every part may be NULL, whatever a batch says of its own

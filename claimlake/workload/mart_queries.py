@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimlake.functions.casting import STRICT
-from claimlake.operators import marts
+from claimlake.operators import changing, marts
 from claimlake.operators.latest import first_and_last, keep_one, unique_zones
 from claimlake.operators.projection import typed_claims, typed_premiums, typed_zones, with_active_flag
+from claimlake.session import work_path
+from claimlake.sinks.merge_table import MergeTable
+from claimlake.sinks.upsert import Upsert
 from claimlake.workload import tables as t
 from claimlake.workload.oracle import (
     coarse_percent, coarse_ratio, half_up, mean, money, percent, with_raw, with_silver,
 )
-from claimlake.workload.registry import query
+from claimlake.workload.registry import SQL, query
 
 CLAIM_COLUMNS = f"""claim_id, policy_id, event_id, date_of_loss, reported_date, peril_type, claim_status,
   {money('incurred')} AS incurred_amount, {money('paid')} AS paid_to_date, snapshot_date"""
@@ -362,3 +365,62 @@ def _(spark, folder):
 def _(spark, folder):
     policies = t.silver_premiums(spark, folder)
     return marts.total_by(policies, "postcode", "annual_premium", "total_premium")
+
+
+# ---- marts kept up with changes ----
+
+# Three batches: first doctored versions of most rows and rows that are withdrawn later, then true rows in two parts. What is
+# true in the end is the silver tables, so the marts' own SQL holds.
+HALF = "crc32(CAST({key} AS BINARY)) % 2"
+
+
+def _claim_batches(spark, folder):
+    order = F.struct("number", "snapshot_date").alias("at")
+    claims = t.current_claims(spark, folder).select(*[c.strip() for c in "claim_id, policy_id, event_id, date_of_loss, reported_date, peril_type, claim_status, incurred_amount, paid_to_date, snapshot_date".split(",")])
+    true = claims.withColumn("number", F.expr(f"1 + {HALF.format(key='claim_id')}").cast("int")).select("*", order).drop("number")
+    early = claims.withColumns(
+        {
+            "incurred_amount": (F.col("incurred_amount") * 3).cast("decimal(18,2)"), "claim_status": F.lit("Open"), "number": F.lit(0),
+            "event_id": F.when(F.col("claim_id").endswith("1"), F.col("event_id")),
+        }
+    ).select("*", order).drop("number").where("NOT claim_id LIKE '%-3'")
+    extra = early.where("claim_id LIKE '%-2'").withColumn("claim_id", F.concat(F.lit("X"), "claim_id"))
+    withdrawn = extra.withColumns({"claim_status": F.lit("Withdrawn"), "at": F.struct(F.lit(2).alias("number"), "snapshot_date")})
+    first = lambda number: true.where(F.col("at.number") == number)
+    return early.unionByName(extra), first(1), first(2).unionByName(withdrawn)
+
+
+def _dimension_batches(rows, key, doctored):
+    """The doctored rows of all, then the true rows in two halves."""
+    numbered = rows.withColumn("at", F.expr(f"1 + {HALF.format(key=f'CAST({key} AS STRING)')}").cast("int"))
+    return rows.withColumns({**doctored, "at": F.lit(0)}), numbered.where("at = 1"), numbered.where("at = 2")
+
+
+def _changing(spark, folder, name):
+    """A mart after three batches of changes in every table it reads, taken in one by one."""
+    root = work_path(spark, f"changing-{name}")
+    mart = changing.MARTS[name]
+    spec = lambda key, **more: Upsert((key,), "at", buckets=8, except_columns=("at",), **more)
+    batches = {
+        changing.CLAIMS: lambda: (spec("claim_id", deleted="claim_status = 'Withdrawn'"), _claim_batches(spark, folder)),
+        changing.POLICIES: lambda: (spec("policy_id"), _dimension_batches(t.silver_premiums(spark, folder), "policy_id",
+            {"region_name": F.lit("Nowhere"), "annual_premium": (F.col("annual_premium") + 1).cast("decimal(18,2)")})),
+        changing.EVENTS: lambda: (spec("event_id"), _dimension_batches(t.silver_events(spark, folder), "event_id", {"event_name": F.lit("unnamed")})),
+        changing.ZONES: lambda: (spec("postcode", deleted="region_name = 'gone'"), _dimension_batches(t.silver_zones(spark, folder), "postcode",
+            {"region_name": F.when(F.col("postcode") % 3 == 0, "gone").otherwise(F.col("region_name"))})),
+    }
+    made = {table: batches[table]() for table in mart.tables}
+    tables = {table: MergeTable(spark, f"{root}/{table}", layout) for table, (layout, _) in made.items()}
+    kept = changing.ChangingMart(spark, f"{root}/mart", mart, tables, buckets=8)
+    for number in range(3):
+        for table, (_, parts) in made.items():
+            tables[table].upsert(parts[number], number, "batches")
+        kept.refresh()
+    return kept.read()
+
+
+for _name in (
+    "claims_summary", "loss_ratio_by_risk", "policy_loss_ratio", "event_loss_summary_extended", "event_losses", "claims_development",
+    "portfolio_exposure",
+):
+    query(f"changing_{_name}", SQL[f"mart_{_name}"])(lambda spark, folder, name=_name: _changing(spark, folder, name))
