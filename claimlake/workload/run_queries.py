@@ -20,7 +20,7 @@ from claimlake.sinks.merge_table import MergeTable
 from claimlake.sinks.upsert import Upsert
 from claimlake.sources.rescue import apply_hints
 from claimlake.sources.tables import stream_folder
-from claimlake.streaming import evolving, runs
+from claimlake.streaming import current, evolving, inferring, runs
 from claimlake.workload import mart_queries as m
 from claimlake.workload import report_queries as rq
 from claimlake.workload import tables as t
@@ -303,7 +303,8 @@ log AS (SELECT split_part(claim_id, '-', 1) AS claim_id, policy_id, claim_status
   snapshot_date, reported_date FROM raw_claims WHERE claim_id IS NOT NULL),
 states AS (
   SELECT v.version, l.* FROM log l, (VALUES (1), (2), (3)) v(version) WHERE l.line % 3 < v.version
-  QUALIFY row_number() OVER (PARTITION BY version, claim_id ORDER BY snapshot_date DESC NULLS LAST, reported_date DESC NULLS LAST, line DESC) = 1),
+  QUALIFY row_number() OVER (PARTITION BY version, claim_id ORDER BY snapshot_date DESC NULLS LAST, reported_date DESC NULLS LAST, line DESC,
+    policy_id DESC NULLS LAST, claim_status DESC, incurred DESC NULLS LAST) = 1),
 alive AS (SELECT * FROM states WHERE claim_status <> 'Unknown'),
 pairs AS (
   SELECT coalesce(o.version + 1, n.version) AS version, coalesce(o.claim_id, n.claim_id) AS claim_id, o, n
@@ -363,6 +364,35 @@ def _(spark, folder):
     return every.groupBy("version", "claim_status").agg(F.count(F.lit(1)).alias("claims"), F.sum("incurred_amount").alias("incurred_amount"))
 
 
+def _order_claims(spark, folder, root) -> DataFrame:
+    """Order lines as rows of one claim per order, as they arrive in files, the odd lines first."""
+    batches = _batched_changes(spark, folder).withColumns({"snapshot_date": F.col("at.snapshot_date"), "line": F.col("at.line")}).drop("at")
+    for number in (1, 0, 2):
+        batches.filter(F.col("batch") == number).drop("batch").repartition(3).write.mode("append").parquet(f"{root}/landing")
+        yield stream_folder(spark, f"{root}/landing", batches.drop("batch").schema, files_per_batch=2)
+
+
+LATEST_OF_ORDER = """
+log AS (SELECT split_part(claim_id, '-', 1) AS claim_id, policy_id, claim_status, incurred, CAST(split_part(claim_id, '-', 2) AS INTEGER) AS line,
+  snapshot_date FROM raw_claims WHERE claim_id IS NOT NULL),
+latest AS (SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY claim_id ORDER BY snapshot_date DESC NULLS LAST, line DESC,
+  policy_id DESC NULLS LAST, claim_status DESC, incurred DESC NULLS LAST) = 1)"""
+
+
+@query(
+    "current_claims_stateful",
+    with_raw("SELECT claim_id, policy_id, claim_status, incurred / 100.0 AS incurred_amount, snapshot_date, line FROM latest", LATEST_OF_ORDER),
+)
+def _(spark, folder):
+    """The latest row of every claim from keyed state, over three starts of the stream that go on from one checkpoint."""
+    root = work_path(spark, "stateful")
+    table = MergeTable(spark, f"{root}/claims", Upsert(("claim_id",), "at", buckets=8, except_columns=("at",)))
+    for stream in _order_claims(spark, folder, root):
+        rows = stream.withColumn("at", F.struct("snapshot_date", "line"))
+        runs.finish(current.keep_latest(rows, table, ["at"], f"{root}/checkpoint"))
+    return table.read()
+
+
 @query(
     "stream_clean_and_quarantine",
     with_raw(
@@ -410,6 +440,29 @@ def _(spark, folder):
     return evolving.read_ingested(spark, f"{root}/bronze").select(*base, "region_note", "_rescued_data")
 
 
+@query(
+    "ingest_inferred_csv",
+    with_raw(
+        f"""SELECT CAST(policy_id AS INTEGER) AS policy_id, {money('premium')} AS annual_premium, policy_end_date,
+        CASE CAST(policy_id AS BIGINT) % 3 WHEN 0 THEN lpad(policy_id, 6, '0') WHEN 1 THEN policy_id || '.50' ELSE region_name END AS code,
+        CASE WHEN CAST(policy_id AS BIGINT) % 3 > 0 THEN CAST(policy_id AS DOUBLE) / 2 END AS half FROM raw_premiums"""
+    ),
+)
+def _(spark, folder):
+    """Policies as CSV files in three runs: a column goes from whole numbers to decimals to text, another comes later."""
+    root = work_path(spark, "inferring")
+    number = F.col("policy_id").cast("bigint")
+    rows = t.raw_premiums(spark, folder).select("policy_id", "region_name", "annual_premium", "policy_end_date")
+    codes = [F.lpad("policy_id", 6, "0"), F.concat("policy_id", F.lit(".50")), F.col("region_name")]
+    for run, code in enumerate(codes):
+        part = rows.filter(number % 3 == run).withColumn("code", code).drop("region_name")
+        part = part.withColumn("half", (number / 2).cast("decimal(20,1)").cast("string")) if run else part
+        part.write.mode("append").option("header", True).csv(f"{root}/landing")
+        inferring.ingest_inferred(spark, f"{root}/landing", f"{root}/bronze", f"{root}/kinds", f"{root}/checkpoint")
+    read = inferring.read_inferred(spark, f"{root}/bronze", f"{root}/kinds")
+    return read.select("policy_id", "annual_premium", "policy_end_date", "code", F.col("half").cast("double").alias("half"))
+
+
 FLOWS_SQL = " UNION ALL ".join(
     [
         f"SELECT 'silver_policies' AS table_name, count(*) AS rows, {money('sum(premium)')} AS premium FROM raw_premiums WHERE premium > 0",
