@@ -112,9 +112,18 @@ class FlowRunner:
     root: str
     log: RunLog | None = None
     written: dict[str, FlowSpec] = field(default_factory=dict)
+    roots: dict[str, str] = field(default_factory=dict)  # of tables that lie below another folder
 
     def path(self, spec: FlowSpec, suffix: str = "") -> str:
-        return f"{self.root.rstrip('/')}/{spec.layer}/{spec.name}{suffix}"
+        return f"{self.roots.get(spec.view, self.root).rstrip('/')}/{spec.layer}/{spec.name}{suffix}"
+
+    def adopt(self, spec: FlowSpec) -> None:
+        """Know a table that was written, and its quarantine if it has rules, by their names in queries."""
+        self.written[spec.view] = spec
+        if exists(self.spark, self.path(spec)):
+            names = [spec.view, *([f"{spec.view}_quarantine"] if spec.rules and spec.quarantine else [])]
+            for name in names:
+                self.read(name).createOrReplaceTempView(name)
 
     def merge_table(self, spec: FlowSpec) -> MergeTable:
         """The table of a type-1 specification."""
@@ -166,9 +175,7 @@ class FlowRunner:
         else:
             # A growing number, so that no later run passes for a replay of an earlier one.
             counts = self._write(spec, self._batch_source(spec), time.time_ns(), "batch")
-        self.written[spec.view] = spec
-        if exists(self.spark, self.path(spec)):
-            self.read(spec.view).createOrReplaceTempView(spec.view)
+        self.adopt(spec)
         if self.log:
             entries = expectation_entries(spec.name, spec.rules, counts) if counts and spec.rules else ()
             dropped = counts.get("rows", 0) - counts.get("kept", 0)

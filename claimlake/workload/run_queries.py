@@ -5,6 +5,7 @@ Each writes into a fresh path below the shared folder and returns what it wrote.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from claimlake.operators import monitor, quality, rulesets
 from claimlake.operators.projection import typed_claims, typed_premiums
 from claimlake.plans.flows import FlowRunner, FlowSpec
+from claimlake.plans.graph import FlowGraph, GraphRunner, read_specs
 from claimlake.plans.medallion import TableFolders, run_batch
 from claimlake.schemas import CLAIMS, PREMIUMS
 from claimlake.session import work_path
@@ -500,3 +502,56 @@ def _(spark, folder):
         for name in ("silver_policies", "silver_policies_quarantine", "gold_premium_by_region")
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+# A medallion as specification files. The keys of the tokens are filled in when the files are read.
+SPECS = [
+    {"name": "claims", "layer": "bronze", "source": "{landing}/claims", "source_format": "parquet", "rules": {"expect_or_drop": [{"name": "has_id", "constraint": "claim_id IS NOT NULL"}]}},
+    {"name": "policies", "layer": "bronze", "source": "{landing}/policies", "source_format": "parquet"},
+    {
+        "name": "claims", "layer": "silver", "table": "bronze_claims", "mode": "stream",
+        "select": ["claim_id", "policy_id", "peril_type", "try_cast(incurred_amount AS {money}) AS incurred_amount"],
+        "rules": {
+            "expect_or_drop": [{"name": "amount", "constraint": "incurred_amount >= 0"}],
+            "expect": [{"name": "peril", "constraint": "peril_type IS NOT NULL"}],
+        },
+    },
+    {
+        "name": "policies", "layer": "silver", "table": "bronze_policies", "keys": ["policy_id"], "sequence": "ingestion_timestamp", "buckets": 8,
+        "select": ["policy_id", "region_name", "CAST(annual_premium AS {money}) AS annual_premium", "ingestion_timestamp"],
+        "except_columns": ["ingestion_timestamp"], "rules": {"expect_or_drop": [{"name": "premium", "constraint": "annual_premium > 0"}]},
+    },
+    {
+        "name": "losses", "layer": "gold",
+        "sql": "SELECT region_name, peril_type, count(*) AS claims, sum(incurred_amount) AS incurred FROM silver_claims LEFT JOIN silver_policies USING (policy_id) GROUP BY ALL",
+    },
+    {"name": "premiums", "layer": "gold", "sql": "SELECT region_name, sum(annual_premium) AS premium FROM silver_policies GROUP BY ALL"},
+    {"name": "ratios", "layer": "gold", "sql": "SELECT region_name, peril_type, claims, incurred, premium FROM gold_losses LEFT JOIN gold_premiums USING (region_name)"},
+]
+DECLARED = f"""losses AS (
+  SELECT region_name, peril_type, count(*) AS claims, sum(incurred) AS incurred FROM raw_claims
+  LEFT JOIN (SELECT policy_id, region_name FROM raw_premiums WHERE premium > 0) USING (policy_id) WHERE claim_id IS NOT NULL AND incurred >= 0 GROUP BY ALL),
+premiums AS (SELECT region_name, sum(premium) AS premium FROM raw_premiums WHERE premium > 0 GROUP BY ALL)"""
+
+
+@query(
+    "medallion_declared",
+    with_raw(
+        f"""SELECT run, region_name, peril_type, claims, {money('incurred')} AS incurred, {money('premium')} AS premium
+        FROM losses LEFT JOIN premiums USING (region_name), (VALUES ('first'), ('refreshed')) v(run)""",
+        DECLARED,
+    ),
+)
+def _(spark, folder):
+    """A medallion from specification files, given in reverse, and again after a table and all below it were refreshed."""
+    root = work_path(spark, "declared")
+    t.raw_claims(spark, folder).write.parquet(f"{root}/landing/claims")
+    t.raw_premiums(spark, folder).write.parquet(f"{root}/landing/policies")
+    written = spark.createDataFrame([(json.dumps(spec),) for spec in reversed(SPECS)], "value string").repartition(len(SPECS))
+    written.write.text(f"{root}/specs")
+    graph = FlowGraph(read_specs(spark, f"{root}/specs", {"landing": f"{root}/landing", "money": "DECIMAL(18,2)"}, pattern="part-*"))
+    runner = GraphRunner(spark, root, graph)
+    first = runner.run().read("gold_ratios").withColumn("run", F.lit("first"))
+    runner.refresh("silver_policies")
+    again = GraphRunner(spark, root, graph).flows.read("gold_ratios").withColumn("run", F.lit("refreshed"))
+    return first.unionByName(again)
