@@ -5,6 +5,7 @@ Each writes into a fresh path below the shared folder and returns what it wrote.
 
 from __future__ import annotations
 
+import datetime
 import json
 from functools import reduce
 
@@ -18,6 +19,7 @@ from claimlake.plans.graph import FlowGraph, GraphRunner, read_specs
 from claimlake.plans.medallion import TableFolders, run_batch
 from claimlake.schemas import CLAIMS, PREMIUMS
 from claimlake.session import work_path
+from claimlake.sinks import clustered
 from claimlake.sinks.merge_table import MergeTable
 from claimlake.sinks.upsert import Upsert
 from claimlake.sources.rescue import apply_hints
@@ -504,6 +506,40 @@ def _(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+WINDOWS = {
+    "by_date": {"date_of_loss": (datetime.date(1995, 1, 1), datetime.date(1995, 6, 30))},
+    "by_amount": {"incurred_amount": (20000, 30000)},
+    "by_both": {"date_of_loss": (datetime.date(1994, 3, 1), None), "incurred_amount": (None, 5000)},
+}
+
+
+@query(
+    "clustered_claims",
+    with_raw(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS win, count(*) AS claims, {money('sum(incurred)')} AS incurred_amount, TRUE AS half_the_files_or_less FROM raw_claims WHERE {test}"
+            for name, test in (
+                ("by_date", "date_of_loss BETWEEN DATE '1995-01-01' AND DATE '1995-06-30'"),
+                ("by_amount", "incurred BETWEEN 2000000 AND 3000000"),
+                ("by_both", "date_of_loss >= DATE '1994-03-01' AND incurred <= 500000"),
+            )
+        )
+    ),
+)
+def _(spark, folder):
+    """Claims along a curve over loss date and amount, read by ranges of one or both: equal results from part of the files."""
+    path = work_path(spark, "clustered")
+    clustered.write_clustered(typed_claims(t.derived_once(t.raw_claims(spark, folder))), path, ["date_of_loss", "incurred_amount"], files=32)
+    n_files = clustered.files_of(spark, path, {}).count()
+    parts = []
+    for name, bounds in WINDOWS.items():
+        read = clustered.files_of(spark, path, bounds).count()
+        rows = clustered.read_clustered(spark, path, bounds)
+        found = rows.agg(F.count(F.lit(1)).alias("claims"), F.sum("incurred_amount").alias("incurred_amount"))
+        parts.append(found.select(F.lit(name).alias("win"), "*", F.lit(read * 2 <= n_files).alias("half_the_files_or_less")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # A medallion as specification files. The keys of the tokens are filled in when the files are read.
 SPECS = [
     {"name": "claims", "layer": "bronze", "source": "{landing}/claims", "source_format": "parquet", "rules": {"expect_or_drop": [{"name": "has_id", "constraint": "claim_id IS NOT NULL"}]}},
@@ -543,12 +579,12 @@ premiums AS (SELECT region_name, sum(premium) AS premium FROM raw_premiums WHERE
     ),
 )
 def _(spark, folder):
-    """A medallion from specification files, given in reverse, and again after a table and all below it were refreshed."""
+    """A medallion from two specification files, given in reverse, and again after a table and all below it were refreshed."""
     root = work_path(spark, "declared")
     t.raw_claims(spark, folder).write.parquet(f"{root}/landing/claims")
     t.raw_premiums(spark, folder).write.parquet(f"{root}/landing/policies")
-    written = spark.createDataFrame([(json.dumps(spec),) for spec in reversed(SPECS)], "value string").repartition(len(SPECS))
-    written.write.text(f"{root}/specs")
+    for listed in (SPECS[:3:-1], SPECS[3::-1]):  # gold, then the layers before it
+        spark.createDataFrame([(json.dumps(listed),)], "value string").coalesce(1).write.mode("append").text(f"{root}/specs")
     graph = FlowGraph(read_specs(spark, f"{root}/specs", {"landing": f"{root}/landing", "money": "DECIMAL(18,2)"}, pattern="part-*"))
     runner = GraphRunner(spark, root, graph)
     first = runner.run().read("gold_ratios").withColumn("run", F.lit("first"))
