@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from claimlake.operators import quality as q
+from claimlake.operators import fingerprints as fp
 from claimlake.operators import report as r
 from claimlake.operators import rulesets
 from claimlake.operators.projection import business_columns, typed_claims, typed_events, typed_premiums, typed_zones
@@ -14,7 +15,7 @@ from claimlake.sources.rescue import apply_hints
 from claimlake.workload import mart_queries as m
 from claimlake.workload import tables as t
 from claimlake.workload.oracle import half_up, with_raw, with_silver
-from claimlake.workload.registry import query
+from claimlake.workload.registry import SQL, query
 
 DUPLICATE_KEYS = ["policy_id", "peril_type", "claim_status", "date_of_loss"]
 
@@ -391,3 +392,14 @@ def _(spark, folder):
 def _(spark, folder):
     zones = t.raw_zones(spark, folder)
     return zones.select(*business_columns(zones))
+
+
+@query("report_duplicate_summary_by_fingerprint", SQL["report_duplicate_summary"])
+def _(spark, folder):
+    return fp.duplicate_summary_by_fingerprint(t.raw_claims(spark, folder), DUPLICATE_KEYS)
+
+
+@query("report_exact_zone_repeats_by_fingerprint", SQL["report_exact_zone_repeats"])
+def _(spark, folder):
+    found = fp.duplicate_groups_by_fingerprint(t.raw_zones(spark, folder), RISK_ZONES.columns)
+    return found.withColumnRenamed("duplicate_count", "row_count")
