@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimlake.operators import monitor, quality, rulesets
+from claimlake.operators import eventlog, monitor, quality, rulesets
 from claimlake.operators.projection import typed_claims, typed_premiums
 from claimlake.plans.flows import FlowRunner, FlowSpec
 from claimlake.plans.graph import FlowGraph, GraphRunner, read_specs
@@ -22,9 +22,10 @@ from claimlake.session import work_path
 from claimlake.sinks import clustered
 from claimlake.sinks.merge_table import MergeTable
 from claimlake.sinks.upsert import Upsert
+from claimlake.sources.paths import children, remove
 from claimlake.sources.rescue import apply_hints
 from claimlake.sources.tables import stream_folder
-from claimlake.streaming import current, evolving, inferring, runs
+from claimlake.streaming import current, evolving, inferring, logged, runs
 from claimlake.workload import mart_queries as m
 from claimlake.workload import report_queries as rq
 from claimlake.workload import tables as t
@@ -506,6 +507,44 @@ def _(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "log_of_a_killed_stream",
+    with_raw(
+        """SELECT 'flow' AS kind, 'bronze_claims' AS name, count(*) FILTER (claim_id IS NOT NULL) AS passed, count(*) FILTER (claim_id IS NULL) AS failed FROM raw_claims
+        UNION ALL SELECT 'rule', 'has_id', count(*) FILTER (claim_id IS NOT NULL), count(*) FILTER (claim_id IS NULL) FROM raw_claims
+        UNION ALL SELECT 'rule', 'no_refund', count(*) FILTER (incurred >= 0), count(*) FILTER (incurred IS NULL OR incurred < 0) FROM raw_claims
+        UNION ALL SELECT 'table', 'bronze_claims', count(*) FILTER (claim_id IS NOT NULL), count(*) FILTER (claim_id IS NULL) FROM raw_claims"""
+    ),
+)
+def _(spark, folder):
+    """The log of a stream that was killed after it had written its last batch, and went on with the files that came since."""
+    root = work_path(spark, "killed")
+    rules = [quality.Rule("has_id", "claim_id IS NOT NULL", quality.DROP), quality.Rule("no_refund", "try_cast(incurred_amount AS DOUBLE) >= 0")]
+    rows = t.raw_claims(spark, folder)
+    log = logged.BatchLog(spark, f"{root}/log", "p", "claims")
+    half = "coalesce(crc32(CAST(claim_id AS BINARY)), 0) % 2"
+    for number in range(2):
+        rows.where(f"{half} = {number}").repartition(2).write.mode("append").parquet(f"{root}/landing")
+        stream = stream_folder(spark, f"{root}/landing", rows.schema, files_per_batch=1)
+        runs.finish(logged.logged_stream(stream, rules, f"{root}/claims", f"{root}/checkpoint", log, "bronze_claims"))
+        if number == 0:
+            last = max(int(n) for n in children(spark, f"{root}/checkpoint/commits") if n.isdigit())
+            for name in (f"{last}", f".{last}.crc"):
+                remove(spark, f"{root}/checkpoint/commits/{name}")
+    entries = log.read()
+    flow = eventlog.flow_metrics(entries).select(
+        F.lit("flow").alias("kind"), F.col("table_name").alias("name"), F.col("total_output_records").alias("passed"),
+        F.col("total_expectation_dropped_records").alias("failed"),
+    )
+    expected = eventlog.expectation_metrics(entries).groupBy(F.lit("rule").alias("kind"), F.col("expectation").alias("name"))
+    rule = expected.agg(F.sum("passing_records").alias("passed"), F.sum("failing_records").alias("failed"))
+    judged = spark.read.parquet(f"{root}/claims").agg(
+        F.lit("table").alias("kind"), F.lit("bronze_claims").alias("name"), F.count_if(F.col("claim_id").isNotNull()).alias("passed"),
+        F.count_if(F.col("claim_id").isNull()).alias("failed"),
+    )
+    return flow.unionByName(rule).unionByName(judged)
+
+
 WINDOWS = {
     "by_date": {"date_of_loss": (datetime.date(1995, 1, 1), datetime.date(1995, 6, 30))},
     "by_amount": {"incurred_amount": (20000, 30000)},
