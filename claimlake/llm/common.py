@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from claimlake.session import shared_folder
 
+PIECE = 8 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -54,13 +56,21 @@ def arrow_map(frame: DataFrame, work: Callable[[dict], dict], schema: str) -> Da
     target = _arrow_schema(frame.sparkSession, schema)
 
     def loop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             out = work({n: batch.column(i).to_pylist() for i, n in enumerate(names)})
             yield pa.RecordBatch.from_pydict(out, schema=target)
 
     return frame.mapInArrow(loop, schema)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that about ``PIECE`` bytes at a time become Python objects, which take several times as much."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * PIECE // max(batch.nbytes, 1))
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def arrow_extend(frame: DataFrame, inputs: list[str], work: Callable[[dict], dict], added: str) -> DataFrame:
     """``frame`` with the columns of the DDL string ``added``, which ``work`` derives from ``inputs`` of a batch.
 
@@ -76,7 +86,7 @@ def arrow_extend(frame: DataFrame, inputs: list[str], work: Callable[[dict], dic
     target = _arrow_schema(frame.sparkSession, added)
 
     def loop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _pieces(batches):
             out = work({n: batch.column(i).to_pylist() for n, i in zip(inputs, spots, strict=True)})
             more = [pa.array(out[f.name], f.type) for f in target]
             names = [batch.schema.names[i] for i in stay] + target.names
