@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlake.llm import bpe_recursive, fm_index, language_mixture, superminhash, templates
@@ -25,34 +25,49 @@ from claimlake.llm.common import held_out, scratch, table
 from claimlake.llm.queries import vocabulary, workers_find_us
 
 ORACLE_SQL = None
+OTHERS = "_other_columns"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Id and text, and all other columns in one, so that none of them can bear the name of a column an operator adds."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others or [F.lit(None).alias("none")]).alias(OTHERS))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` again, with those that changed where ``docs`` has them."""
+    known = {"doc_id": F.col("doc_id"), "text": F.col("text"), **changed}
+    return rows.select(*[known.get(c, F.col(OTHERS)[c]).alias(c) for c in docs.columns])
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_find_us(spark)
     model = language_mixture.learn(docs.where(~held_out("doc_id", 4, 2) & F.col("doc_id").isNotNull()))
-    judged = language_mixture.predict(docs, model)
-    return judged.where((F.col("lang_pred") != language_mixture.UNKNOWN) & (F.col("score") >= 0.5)).select(docs.columns)
+    judged = language_mixture.predict(packed(docs), model)
+    return unpacked(judged.where((F.col("lang_pred") != language_mixture.UNKNOWN) & (F.col("score") >= 0.5)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_find_us(spark)
     found = superminhash.near_duplicates(docs.select("doc_id", "text"), width=5)
     dropped = found.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti")
+    return unpacked(packed(docs).join(dropped, F.col("doc_id") == F.col("_dropped"), "left_anti"), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     workers_find_us(spark)
-    cut = fm_index.remove(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    changed = cut.withColumn("text", text).withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return changed.select(docs.columns)
+    cut = fm_index.remove(packed(docs))
+    whole = F.col("n_removed") == 0
+    changed = cut.withColumn("text", F.when(whole, F.col("text")).otherwise(F.col("kept_text")))
+    if "n_chars" not in docs.columns:
+        return unpacked(changed, docs)
+    return unpacked(changed, docs, n_chars=F.when(whole, F.col(OTHERS)["n_chars"]).otherwise(F.length("text").cast("long")))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = templates.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
     hit = found.select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti")
+    return unpacked(packed(docs).join(hit, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_anti"), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
