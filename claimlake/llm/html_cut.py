@@ -4,7 +4,8 @@ A page is cut into blocks at block-level tags. Each block gets a score from its
 sidebars, notices, adverts, forms, comments, told by tag, role, class or id of it or an element around it), its share of linked
 text, its length and its sentence marks. The score is its capacity to the source (content) or the sink (the rest). Neighbours
 in reading order are joined by edges that weaken with the elements that lie between them, and so are successive blocks of one
-element. A maximum flow by augmenting paths gives the cheapest cut, and its source side is the main text.
+element. A maximum flow gives the cheapest cut, and its source side is the main text; of several cheapest cuts the one with the
+least text is taken.
 
 Tags such as nav, footer and aside exclude all within them. Classes, ids and roles, and forms, only cost ``NAMED``, until an
 article or main within them begins. One that holds two thirds of the page's text, and of what lies in articles and the like, is
@@ -13,24 +14,28 @@ a wrapper round the page ('layout-with-sidebar'): it costs less the more it hold
 Character references are decoded; white space in a block becomes one blank; blocks are joined by line feeds. Scripts, styles,
 comments and other markup are no text. An unclosed comment or script runs to the end of the page, as in a browser.
 
-Defined results: null and empty html give an empty text, and so does a page whose cut leaves nothing. Every row gives one row.
+Defined results: null and empty html give an empty text, and so does a page whose cut leaves nothing. Every row gives one row,
+repeated rows give equal ones, and a long page takes time nearly in proportion to its length. Other columns pass through; columns named
+``text`` and ``n_chars`` are replaced.
 """
 
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
+from collections.abc import Iterator
 from html import unescape
+from itertools import pairwise
 
 from pyspark.sql import DataFrame
 
 from claimlake.llm.common import arrow_extend
 
-_MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|object|textarea|select|button|canvas|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)/?>",
-    re.S | re.I,
-)
+# A quote opens a value only behind "="; an unquoted value ends at a blank or ">". Possessive, so linear in the tag.
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9-]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)*+)>")
+_PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9-]*+)([^>]*+)>")
+_NO_TEXT = frozenset("script style noscript template svg iframe object textarea select button canvas title".split())
+_NO_TEXT_ENDS = {name: re.compile(rf"</{name}\s*+>", re.I) for name in _NO_TEXT}
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q s samp small span strike strong sub sup time tt u var wbr br label input".split())
@@ -44,7 +49,7 @@ BAD_NAMES = frozenset(
     "comment comments disqus reply replies share sharing social related recommended breadcrumb breadcrumbs pagination pager toolbar copyright".split()
 )
 GOOD_NAMES = frozenset("article content main post entry story body text".split())
-HARD, NAMED, SMOOTH, WRAPS = 1_000.0, 4.0, 1.5, 2 / 3
+HARD, NAMED, SMOOTH, WRAPS, TINY = 1_000.0, 4.0, 1.5, 2 / 3, 1e-9
 
 
 class _Element:
@@ -86,6 +91,45 @@ class _Element:
         self.good, self.cost = max(inside, kind), cost
 
 
+def marks(html: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, whether it closes, attributes) of every piece of markup; comments and elements without text have no name.
+
+    A "<" that begins no markup, or whose tag does not end, is text. Every character is looked at a few times only: an unclosed
+    quote or tag is met once, then tags are taken to their next ">".
+    """
+    last, tag, at = html.rfind(">"), _TAG, 0
+    while (at := html.find("<", at)) >= 0:
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            end = len(html) if end < 0 else end + 3
+            yield at, end, "", False, ""
+            at = end
+            continue
+        if at > last:
+            at += 1
+            continue
+        if html.startswith(("<!", "<?"), at):
+            end = html.index(">", at) + 1
+            yield at, end, "", False, ""
+            at = end
+            continue
+        found = tag.match(html, at)
+        if found is None and tag is _TAG and html[at + 1 : at + 2].isalpha():
+            tag = _PLAIN_TAG
+            found = tag.match(html, at)
+        if found is None:
+            at += 1
+            continue
+        end, name = found.end(), found[2].lower()
+        if name in _NO_TEXT and not found[1] and not (name == "svg" and found[3].endswith("/")):
+            closing = _NO_TEXT_ENDS[name].search(html, end)
+            end = closing.end() if closing else len(html)
+            yield at, end, "", False, ""
+        else:
+            yield at, end, name, bool(found[1]), found[3]
+        at = end
+
+
 def blocks(html: str) -> list[tuple[str, int, str, _Element]]:
     """(text, characters in links, tag, element) of every block with text, in page order."""
     found: list[tuple[str, int, str, _Element]] = []
@@ -104,38 +148,38 @@ def blocks(html: str) -> list[tuple[str, int, str, _Element]]:
             parts.clear()
         linked = 0
 
-    at = 0
-    for mark in _MARK.finditer(html):
-        if mark.start() > at:
-            piece = html[at : mark.start()]
+    at, opened = 0, Counter()
+    for start, end, name, closes, attributes in marks(html):
+        if start > at:
+            piece = html[at:start]
             parts.append(piece)
             if in_link:
                 linked += len(piece)
-        at = mark.end()
-        name = mark[3]
-        if name is None:
+        at = end
+        if not name:
             continue
-        name = name.lower()
         if name in INLINE:
             if name == "a":
-                in_link = 0 if mark[2] else 1
+                in_link = 0 if closes else 1
             elif name == "br":
                 parts.append(" ")
             continue
         close()
         in_link = 0
-        if mark[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == name:
-                    del stack[i:]
-                    break
+        if closes:
+            if opened[name]:
+                while (left := stack.pop().tag) != name:
+                    opened[left] -= 1
+                opened[name] -= 1
             tag = stack[-1].tag
         else:
             if name in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and stack[-1].tag == "p":
                 stack.pop()
+                opened["p"] -= 1
             tag = name
             if name not in VOID:
-                stack.append(_Element(name, mark[4] or "", stack[-1]))
+                stack.append(_Element(name, attributes, stack[-1]))
+                opened[name] += 1
                 made.append(stack[-1])
     if at < len(html):
         parts.append(html[at:])
@@ -185,36 +229,83 @@ def _between(a: _Element, b: _Element) -> int:
 
 
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> set[int]:
-    """Nodes on the source side of a cheapest cut; edges carry their capacity both ways."""
+    """Nodes on the source side of the smallest cheapest cut; edges carry their capacity both ways.
+
+    A node whose terminal capacity outweighs all its edges is on that terminal's side in every cheapest cut. It is settled first,
+    its edges become terminal capacity of its neighbours, and so on; most of a page ends there. The maximum flow through the rest
+    is found in phases of shortest paths, each phase with one search and one pass over the edges.
+    """
     n = len(source)
     room: list[dict[int, float]] = [{} for _ in range(n)]
     for a, b, capacity in edges:
         room[a][b] = room[a].get(b, 0.0) + capacity
         room[b][a] = room[b].get(a, 0.0) + capacity
-    left, free = list(source), list(sink)
+    pull = [s - t for s, t in zip(source, sink, strict=True)]  # above 0: what the source has more to give than the sink takes
+    weight = [sum(around.values()) for around in room]
+    side: list[bool | None] = [None] * n
+    due = list(range(n))
+    while due:
+        a = due.pop()
+        if side[a] is not None or -pull[a] < weight[a] >= pull[a] - TINY:
+            continue
+        side[a] = pull[a] > weight[a] + TINY
+        for b, capacity in room[a].items():
+            del room[b][a]
+            weight[b] -= capacity
+            pull[b] += capacity if side[a] else -capacity
+            due.append(b)
+        room[a] = {}
+    rest = [i for i in range(n) if side[i] is None]
+    left = {i: pull[i] for i in rest if pull[i] > TINY}
+    free = {i: -pull[i] for i in rest if pull[i] < -TINY}
     while True:
-        came = {i: -1 for i in range(n) if left[i] > 1e-9}
-        queue, goal = deque(came), -1
+        level = dict.fromkeys(left, 0)
+        queue, reached, goal = deque(left), [], False
         while queue:
             a = queue.popleft()
-            if free[a] > 1e-9:
-                goal = a
+            if goal and level[a] > level[reached[0]]:
                 break
+            if a in free:
+                goal = True
+                reached.append(a)
             for b, capacity in room[a].items():
-                if capacity > 1e-9 and b not in came:
-                    came[b] = a
+                if capacity > TINY and b not in level:
+                    level[b] = level[a] + 1
                     queue.append(b)
-        if goal < 0:
-            return set(came)
-        path = [goal]
-        while came[path[-1]] >= 0:
-            path.append(came[path[-1]])
-        flow = min(free[goal], left[path[-1]], *(room[came[b]][b] for b in path[:-1]))
-        free[goal] -= flow
-        left[path[-1]] -= flow
-        for b in path[:-1]:
-            room[came[b]][b] -= flow
-            room[b][came[b]] += flow
+        if not goal:
+            return {i for i in range(n) if side[i]} | set(level)
+        _saturate(room, level, left, free)
+
+
+def _saturate(room: list[dict[int, float]], level: dict[int, int], left: dict[int, float], free: dict[int, float]) -> None:
+    """Send all flow that paths along rising levels can take; an edge found useless is not tried again."""
+    ways = {}
+    for start in list(left):
+        path = [start]
+        while path:
+            a = path[-1]
+            if a in free:
+                flow = min(free[a], left[start], *(room[x][y] for x, y in pairwise(path)))
+                for x, y in pairwise(path):
+                    room[x][y] -= flow
+                    room[y][x] += flow
+                for terminal, node in ((left, start), (free, a)):
+                    terminal[node] -= flow
+                    if terminal[node] <= TINY:
+                        del terminal[node]
+                if start not in left:
+                    break
+                path = [start]
+                continue
+            way = ways.setdefault(a, list(room[a]))
+            while way and not (room[a][way[-1]] > TINY and level.get(way[-1], -1) == level[a] + 1):
+                way.pop()
+            if way:
+                path.append(way[-1])
+            else:
+                path.pop()
+                if path:
+                    ways[path[-1]].pop()
 
 
 def main_text(html: str | None) -> str:

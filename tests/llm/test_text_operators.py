@@ -3,6 +3,7 @@
 import hashlib
 import io
 import random
+import time
 import zlib
 
 import numpy as np
@@ -320,3 +321,37 @@ def test_minimum_cut_is_the_cheapest():
 
         best = min(cost({i for i in range(n) if mask >> i & 1}) for mask in range(2**n))
         assert cost(html_cut.minimum_cut(source, sink, edges)) == pytest.approx(best)
+
+
+def test_quotes_begin_values_only_behind_an_equals_sign():
+    one, two = "A long sentence is here, with many words in it so that it counts.", "It's another one, \"quoted\" at some length, which counts as well."
+    for page in (f"<p title=don't>{one}<p>{two}", f"<p title=a\"b data-x = 'c>d'>{one}</p><p it's>{two}</p>", f"<p href=?a=\"b>{one}</p><p title=\"x>y\">{two}</p>"):
+        assert html_cut.main_text(page) == f"{one}\n{two}"
+    assert html_cut.main_text(f"<p>{one}</p><svg/><p>{two}</p><p>3 < 4 and so on, which is text as well as all the rest.</p>").count("\n") == 2
+    assert html_cut.main_text(f"<p>{one} a <b and no end of it") == f"{one} a <b and no end of it"
+
+
+def test_a_flow_of_several_phases_is_the_cheapest_cut():
+    rng = random.Random(9)
+    for _ in range(40):
+        n = 9
+        source, sink = [rng.choice([0, 0, 1, 3]) for _ in range(n)], [rng.choice([0, 0, 1, 3]) for _ in range(n)]
+        edges = [(i, i + 1, rng.randint(1, 5)) for i in range(n - 1)] + [(i, rng.randrange(n), 2) for i in range(0, n, 3)]
+        edges = [(a, b, c) for a, b, c in edges if a != b]
+
+        def cost(kept):
+            return sum(sink[i] if i in kept else source[i] for i in range(n)) + sum(c for a, b, c in edges if (a in kept) != (b in kept))
+
+        every = [{i for i in range(n) if mask >> i & 1} for mask in range(2**n)]
+        best = min(map(cost, every))
+        assert html_cut.minimum_cut(source, sink, edges) == set.intersection(*[k for k in every if cost(k) == best])
+
+
+@pytest.mark.parametrize("page", [
+    "<p>Some words of a paragraph, ten or more of them here.</p><li><a href=x>three linked words</a></li>" * 25_000, "<div>" * 40_000 + "</span>" * 40_000,
+    "<a b " * 50_000, '<a b="' * 50_001 + ">", "<script " * 50_000, "<!" * 50_000, "<div><p>word </div>" * 25_000,
+], ids=["blocks", "deep", "tags", "quotes", "scripts", "declarations", "unclosed"])
+def test_long_pages_take_seconds(page):
+    began = time.perf_counter()
+    html_cut.main_text(page)
+    assert time.perf_counter() - began < 20
