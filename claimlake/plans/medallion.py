@@ -1,11 +1,11 @@
-"""The claims medallion: batch and streamed runs from raw bordereaux to marts, monitored."""
+"""The claims medallion in batch: from raw bordereaux to marts, monitored; ``streamed`` has it over streams."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimlake.operators import marts, rulesets
 from claimlake.operators.latest import claims_current, unique_zones
@@ -63,13 +63,14 @@ class TableFolders:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark, self.root = spark, root.rstrip("/")
         self.names: list[str] = []
-        self._judged: set[str] = set()
+        self._judged: dict[str, T.StructType] = {}
 
     def write(self, name: str, df: DataFrame, rules: Sequence[Rule] = (), clock: Column | None = None) -> DataFrame:
-        writer = (judge(df, rules, clock) if rules else df).write.mode("overwrite")
+        rows = judge(df, rules, clock) if rules else df
+        writer = rows.write.mode("overwrite")
         if rules:
             writer = writer.partitionBy(VERDICT)
-            self._judged.add(name)
+            self._judged[name] = rows.schema
             self.names.append(f"{name}_quarantine")
         writer.option("partitionOverwriteMode", "static").parquet(f"{self.root}/{name}")
         self.names.append(name)
@@ -80,9 +81,8 @@ class TableFolders:
         base = name.removesuffix("_quarantine")
         if base not in self._judged:
             return self.spark.read.parquet(f"{self.root}/{name}")
-        judged = self.spark.read.parquet(f"{self.root}/{base}")
-        if VERDICT not in judged.columns:
-            judged = judged.withColumn(VERDICT, F.lit(None).cast("string"))
+        # the schema is told: a parted folder without a row has no file to take it from
+        judged = self.spark.read.schema(self._judged[base]).parquet(f"{self.root}/{base}")
         return kept_of(judged) if name == base else quarantine_of(judged)
 
 
@@ -101,6 +101,13 @@ def run_batch(
     silver = {name: folders.write(name, df) for name, df in silver_tables(stored, clock=clock).items()}
     snapshots = silver["silver_claims_bordereau"]
     silver["silver_claims_current"] = folders.write("silver_claims_current", claims_current(snapshots))
+    write_gold(silver, folders, current=current, clock=clock)
+    return inventory(listed_tables(folders))
+
+
+def write_gold(silver: Mapping[str, DataFrame], folders: TableFolders, *, current: bool = True, clock: Column | None = None) -> None:
+    """Write the marts of the silver tables, each with the quarantine its rules ask for."""
+    snapshots = silver["silver_claims_bordereau"]
     gold = gold_tables(
         silver["silver_claims_current"] if current else snapshots,
         silver["silver_premium_bordereau"],
@@ -111,7 +118,6 @@ def run_batch(
     )
     for name, df in gold.items():
         folders.write(name, df, rulesets.GOLD.get(name.removeprefix("gold_"), ()), clock)
-    return inventory(listed_tables(folders))
 
 
 def listed_tables(folders: TableFolders) -> list[Listed]:

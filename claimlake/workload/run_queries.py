@@ -17,6 +17,7 @@ from claimlake.operators.projection import typed_claims, typed_premiums
 from claimlake.plans.flows import FlowRunner, FlowSpec
 from claimlake.plans.graph import FlowGraph, GraphRunner, read_specs
 from claimlake.plans.medallion import TableFolders, run_batch
+from claimlake.plans.streamed import StreamedTables, run_streamed
 from claimlake.schemas import CLAIMS, PREMIUMS
 from claimlake.session import work_path
 from claimlake.sinks import clustered
@@ -102,6 +103,49 @@ def _(spark, folder):
     return _medallion(spark, folder)[1]
 
 
+def _streamed_medallion(spark, folder) -> tuple[StreamedTables, DataFrame]:
+    """Bordereaux that land in two parts, files up to 1995 and later ones, with a run after each; the second is a new process."""
+    root = work_path(spark, "medallion-streamed")
+    for earlier in (True, False):
+        streams = {}
+        for name, build in t.RAW.items():
+            rows, landing = build(spark, folder), f"{root}/landing/{name}"
+            part = F.col("source_file_name") < "claims-1996" if name == "claims" else F.col("source_file_name").endswith("-0.csv")
+            rows.where(part if earlier else ~part).write.mode("append").parquet(landing)
+            streams[name] = stream_folder(spark, landing, rows.schema)
+        tables = StreamedTables(spark, f"{root}/tables", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        found = run_streamed(streams, tables, clock=F.lit("2025-01-01").cast("timestamp"))
+    return tables, found
+
+
+@query("medallion_streamed", with_silver(f"SELECT * FROM ({INVENTORY})", LAYERS))
+def _(spark, folder):
+    """The inventory after two runs over what had landed: that of one batch run over all rows."""
+    return _streamed_medallion(spark, folder)[1]
+
+
+@query(
+    "medallion_streamed_marts",
+    with_silver(
+        f"""SELECT 'claims_summary' AS mart, peril_type, claim_status, region_name, wind_risk_band, building_type, count(c.claim_id) AS claim_count,
+          {money('sum(incurred)')} AS total_incurred, {money('sum(paid)')} AS total_paid
+        FROM kept_current c LEFT JOIN silver_premiums p ON c.policy_id = p.policy_id GROUP BY ALL
+        UNION ALL SELECT 'claims_development', peril_type, NULL, region_name, wind_risk_band, NULL, count(c.claim_id),
+          {money('sum(incurred)')}, {money('sum(paid)')}
+        FROM kept_claims c LEFT JOIN silver_premiums p ON c.policy_id = p.policy_id GROUP BY ALL""",
+        LAYERS,
+    ),
+)
+def _(spark, folder):
+    """Two marts of the streamed medallion, over current claims and over all snapshots."""
+    tables = _streamed_medallion(spark, folder)[0]
+    sums = [F.sum(c).alias(c) for c in ("claim_count", "total_incurred", "total_paid")]
+    summary = tables.read("gold_claims_summary").groupBy("peril_type", "claim_status", "region_name", "wind_risk_band", "building_type").agg(*sums)
+    by_month = tables.read("gold_claims_development").groupBy("peril_type", "region_name", "wind_risk_band").agg(*sums)
+    by_month = by_month.withColumns({"claim_status": F.lit(None).cast("string"), "building_type": F.lit(None).cast("string")})
+    return summary.select(F.lit("claims_summary").alias("mart"), "*").unionByName(by_month.select(F.lit("claims_development").alias("mart"), "*"))
+
+
 RAW_TABLES = {
     "claims_bordereau": "raw_claims", "premium_bordereau": "raw_premiums", "risk_zone_lookup": "raw_zones", "cyclone_events": "raw_events",
 }
