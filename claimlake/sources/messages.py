@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from claimlake.functions.casting import now_or
 from claimlake.schemas import BROKER_FIELDS, ENTITIES, MESSAGE_AUDIT
 
+BROKEN = "_broken_text"
+
 
 def settings(spark: SparkSession, *keys: str) -> list[str]:
     """The values of session settings that must all be there; one error names every missing one."""
@@ -62,7 +64,7 @@ def parse_json(df: DataFrame, schema: T.StructType, clock: Column | None = None)
     """Payload fields, message columns, the raw text and ``_parse_error``.
 
     The error is ``null_value`` without text and ``invalid_json`` for text that is no JSON object. A field
-    of the wrong type is only a NULL field. Message columns the input lacks are NULL, but for the times, which are now.
+    of the wrong type is only a NULL field; of a name that comes twice the last value stands. Message columns the input lacks are NULL, but for the times, which are now.
     """
     if "_raw_value" not in df.columns:
         raise ValueError("parse_json needs a `_raw_value` column")
@@ -71,12 +73,18 @@ def parse_json(df: DataFrame, schema: T.StructType, clock: Column | None = None)
         name: (now_or(clock) if name in times else F.lit(None)).cast(kind) for name, kind in MESSAGE_AUDIT.items() if name not in df.columns
     }
     raw = F.col("_raw_value")
-    is_object = F.try_parse_json(raw).isNotNull() & F.ltrim(raw).startswith("{")
-    error = F.when(raw.isNull(), "null_value").when(~is_object, "invalid_json")
+    fields = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    # Broken text and a field of the wrong type look alike to the parse; only such texts are parsed once more to tell them apart.
+    unsure = F.col("_parsed")[BROKEN].isNotNull()
+    no_object = F.col("_parsed").isNull() | ~F.ltrim(raw).startswith("{") | F.when(unsure, F.try_parse_json(raw).isNull()).otherwise(False)
     return (
-        df.withColumns({**missing, "_parse_error": error})
-        .withColumn("_parsed", F.when(F.col("_parse_error").isNull(), F.from_json(raw, schema)))
-        .select("_parsed.*", "_ingest_ts", *[c for c in MESSAGE_AUDIT if c != "_ingest_ts"], "_raw_value", "_parse_error")
+        df.withColumns({**missing, "_parsed": F.from_json(raw, fields, {"columnNameOfCorruptRecord": BROKEN})})
+        .withColumn("_parse_error", F.when(raw.isNull(), "null_value").when(no_object, "invalid_json"))
+        .withColumn("_parsed", F.when(F.col("_parse_error").isNull(), F.col("_parsed")))
+        .select(
+            *[F.col("_parsed")[name].alias(name) for name in schema.names],
+            "_ingest_ts", *[c for c in MESSAGE_AUDIT if c != "_ingest_ts"], "_raw_value", "_parse_error",
+        )
     )
 
 

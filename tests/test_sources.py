@@ -90,6 +90,17 @@ def test_messages_are_parsed_and_errors_named(spark):
     assert rows[4]._parse_error is None and rows[4].date_of_loss is None and rows[4].claim_id == "CLM-1"
 
 
+def test_only_objects_are_messages(spark):
+    texts = {
+        '{"claim_id":"a","claim_id":"b"}': "b", ' {"claim_id":"s"}': "s", '{"incurred_amount":"many","claim_id":"z"}': "z", "{}": None,
+        '[{"claim_id":"a"}]': "bad", '"x"': "bad", "": "bad", "null": "bad", '{"claim_id":"a"': "bad", '{"claim_id":"a",}': "bad",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "_raw_value string")
+    for row in messages.parse_json(df, CLAIMS.typed_schema()).collect():
+        wanted = texts[row._raw_value]
+        assert (row._parse_error, row.claim_id) == (("invalid_json", None) if wanted == "bad" else (None, wanted)), row._raw_value
+
+
 def test_message_reader_contracts(spark):
     with pytest.raises(ValueError, match="_raw_value"):
         messages.parse_json(spark.range(1), CLAIMS.typed_schema())
