@@ -11,7 +11,8 @@ one too, every score is the share of toxic rows (0 without any). Features of all
 
 Defined results: a null text counts as empty and is scored by its features, all 0. A document labelled twice counts as toxic
 if one label says so; null labels do not count. A null id is never held out and never learned from. Repeated rows give
-repeated results. The isotonic steps leave ties, which the raw margin breaks: a thousandth of the score is the raw one.
+repeated results. Other columns keep their values whatever their names, but for ``score`` and ``predicted``. The isotonic steps
+leave ties, which the raw margin breaks: a thousandth of the score is the raw one.
 """
 
 from __future__ import annotations
@@ -37,6 +38,7 @@ FEATURES = (
 SECOND_PERSON = frozenset(
     "you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine deiner ihr euch euer tú ti tus usted ustedes vosotros".split()
 )
+OTHERS, TEXT = "_other_columns", "_scored_text"
 _WORD = re.compile(r"\w+")
 # from the start of a word only, and without giving back: linear in the text, also in one word of a megabyte
 _MASKED = re.compile(r"(?<!\w)(?:\w++(?:[@$!|*.\-+]++\w++)++|[@$|*+]++\w++|(?=[^\W\d_]*+\d)(?=\d*+[^\W\d_])\w++)")
@@ -105,14 +107,18 @@ class Scorer:
         self.lexicon, self.forest, self.isotonic, self.constant = lexicon, forest, isotonic, constant
 
     def score(self, docs: DataFrame, text: str = "text") -> DataFrame:
-        """``docs`` with ``score`` and ``predicted``."""
+        """``docs`` with ``score`` and ``predicted``, which replace columns of those names."""
+        kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+        # all but the text in one column, so that none can bear the name of a feature or of a column the model adds
+        others = [F.col(f"`{c}`") for c in kept if c != text]
+        packed = docs.select(F.struct(*others or [F.lit(None).alias("none")]).alias(OTHERS), F.col(f"`{text}`").alias(TEXT))
         if self.forest is None:
-            scored = docs.withColumn("score", F.lit(self.constant))
+            score = F.lit(self.constant)
         else:
-            raw = _raw(self.forest, with_features(docs, self.lexicon, text))
-            smooth = self.isotonic.transform(raw)
-            mixed = 0.999 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated"))) + 0.001 * F.col("raw_score")
-            scored = smooth.withColumn("score", mixed).drop("calibrated", "raw_score", *FEATURES)
+            packed = self.isotonic.transform(_raw(self.forest, with_features(packed, self.lexicon, TEXT)))
+            score = 0.999 * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated"))) + 0.001 * F.col("raw_score")
+        again = [(F.col(TEXT) if c == text else F.col(OTHERS)[c]).alias(c) for c in kept]
+        scored = packed.select(*again, score.alias("score"))
         return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

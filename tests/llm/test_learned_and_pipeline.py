@@ -38,6 +38,15 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.predicted == r.toxic for r in rows) >= 0.9 * len(rows) and all(0 <= r.score <= 1 for r in rows)
     empty = scorer.score(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")).collect()
     assert [r.predicted for r in empty] == [0, 0]
+    # columns under the names of features and of the model's own, repeated rows and a very long text
+    toxic = next(r.text for r in rows if r.predicted)
+    names = ["features", "probability", "rawPrediction", "prediction", "calibrated", "raw_score", "length", "you", "a.b"]
+    odd = spark.createDataFrame([(i, t, "old", *"abcdefghi") for i, t in ((1, toxic), (1, toxic), (2, toxic * 2_000), (3, None))], ["doc_id", "text", "score", *names])
+    scored = scorer.score(odd)
+    assert scored.columns == ["doc_id", "text", *names, "score", "predicted"]
+    found = sorted(tuple(r) for r in scored.collect())
+    assert [r[2:-2] for r in found] == [tuple("abcdefghi")] * 4 and [r[0] for r in found] == [1, 1, 2, 3]
+    assert found[0] == found[1] and found[0][-1] == 1 and found[0][1] == toxic and found[3][-1] == 0
 
 
 def test_toxicity_features_and_missing_classes(spark, docs_of):
