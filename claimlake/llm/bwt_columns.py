@@ -26,10 +26,15 @@ from claimlake.llm.common import arrow_map
 from claimlake.llm.windows import Kind, byte_units, repeated_spans
 
 
-def merged_in(old: np.ndarray, places: np.ndarray, values, size: int) -> np.ndarray:
-    """``old`` with ``values`` at ``places`` of the longer sequence, in one pass."""
-    out = np.empty(size, old.dtype)
-    rest = np.ones(size, bool)
+PLACE_BITS = 40
+LOW = np.int64((1 << PLACE_BITS) - 1)
+
+
+def merged_in(old: np.ndarray, places: np.ndarray, values, out: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """``old`` with ``values`` at ``places`` of the longer sequence, in one pass; into ``out``, with ``rest`` as work space."""
+    size = len(old) + len(places)
+    out, rest = out[:size], rest[:size]
+    rest[:] = True
     rest[places] = False
     out[rest] = old
     out[places] = values
@@ -37,56 +42,68 @@ def merged_in(old: np.ndarray, places: np.ndarray, values, size: int) -> np.ndar
 
 
 def _least(values: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Least of values[a..b] for each pair, a <= b; pairs in any order."""
+    """Least of values[a..b] for each pair, a <= b; pairs in any order. ``values`` has an item more than any b reaches."""
     order = np.argsort(-a, kind="stable")  # falling starts: what lies between two slices is never read
     edges = np.empty(2 * len(a), np.int64)
     edges[::2], edges[1::2] = a[order], b[order] + 1
     found = np.empty(len(a), values.dtype)
-    found[order] = np.minimum.reduceat(np.append(values, values[-1]), edges)[::2]
+    found[order] = np.minimum.reduceat(values, edges)[::2]
     return found
 
 
 def construct(strings: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Transform, common prefix with the suffix before, owner and length of every suffix in order; symbols are 1 to 255."""
+    """Transform, common prefix with the suffix before, owner and length of every suffix in order; symbols are 1 to 255.
+
+    ``known`` holds (symbol, place) of the transform in order: after the empty suffixes, the suffixes stand in the order of the
+    pairs that begin them. A round merges its pairs, one for each string, and moves the places; nothing is sorted anew. Work
+    space is taken once, as fresh arrays of this size cost more than what is done with them.
+    """
     n = len(strings)
     lengths = np.array([len(s) for s in strings], np.int64)
     text, begin = np.concatenate(strings), np.cumsum(lengths) - lengths
-    bwt, prefix = np.zeros(n, np.uint8), np.zeros(n, np.uint16)
-    owner, size_of = np.arange(n, dtype=np.int32), np.zeros(n, np.int32)
-    place = np.arange(n)
-    for column in range(1, int(lengths.max(initial=0)) + 1):
+    longest, size = int(lengths.max(initial=0)), n + len(text)
+    known, prefix, place = np.empty(0, np.int64), np.zeros(n + 1, np.uint16), np.arange(n)  # the last common prefix stays last
+    spare = [np.empty(len(text), np.int64), np.empty(len(text), np.int64)]
+    spare_prefix = [np.empty(size + 1, np.uint16), np.empty(size + 1, np.uint16)]
+    rest, moves = np.empty(size + 1, bool), np.empty(len(text), np.int32)
+    for column in range(1, longest + 1):
         active = np.flatnonzero(lengths >= column)
-        spot = place[active]
-        symbol = text[begin[active] + lengths[active] - column].astype(np.uint8)
-        bwt[spot] = symbol
-        order = np.argsort(bwt, kind="stable")
-        sorted_symbols = bwt[order]
-        done = int(np.searchsorted(sorted_symbols, 1))  # whole strings have no symbol before them
-        row = np.empty(len(bwt), np.int64)
-        row[order] = np.arange(len(bwt))
-        at = row[spot]
+        pairs = text[begin[active] + lengths[active] - column].astype(np.int64) << PLACE_BITS | place[active]
+        order = np.argsort(pairs)
+        active, pairs = active[order], pairs[order]
+        spot, symbol, turn = pairs & LOW, pairs >> PLACE_BITS, column % 2
+        at = np.searchsorted(known, pairs) + np.arange(len(pairs))
+        known = merged_in(known, at, pairs, spare[turn], rest)
 
         up = np.zeros(len(active), np.uint16)
-        has = (at > done) & (sorted_symbols[at - 1] == symbol)
-        up[has] = _least(prefix, order[at[has] - 1] + 1, spot[has]) + 1 if has.any() else 0
-        after = np.minimum(at + 1, len(order) - 1)
+        above = known[at - 1]
+        has = (at > 0) & (above >> PLACE_BITS == symbol)
+        up[has] = _least(prefix, (above[has] & LOW) + 1, spot[has]) + 1 if has.any() else 0
         down = np.zeros(len(active), np.uint16)
-        has = (at + 1 < len(order)) & (sorted_symbols[after] == symbol)
-        down[has] = _least(prefix, spot[has] + 1, order[after[has]]) + 1 if has.any() else 0
-
-        new = n + at - done
-        size = len(bwt) + len(active)
-        bwt = merged_in(bwt, new, 0, size)
-        prefix = merged_in(prefix, new, up, size)
-        below = new + 1 < size
-        later = np.zeros(size, bool)
-        later[new] = True
-        old_below = below & ~later[np.minimum(new + 1, size - 1)]
+        below = known[np.minimum(at + 1, len(known) - 1)]
+        has = (at + 1 < len(known)) & (below >> PLACE_BITS == symbol)
+        down[has] = _least(prefix, spot[has] + 1, below[has] & LOW) + 1 if has.any() else 0
+
+        new = n + at
+        inserted = np.concatenate(([0], new - np.arange(len(new)), [len(prefix)]))  # before which old place, in order
+        ahead = np.repeat(np.arange(len(new) + 1, dtype=np.int32), np.diff(inserted))
+        prefix = merged_in(prefix, new, up, spare_prefix[turn], rest)
+        old_below = rest[new + 1] & (new + 2 < len(prefix))
         prefix[new[old_below] + 1] = down[old_below]
-        owner = merged_in(owner, new, active, size)
-        size_of = merged_in(size_of, new, column, size)
+        at_now = np.bitwise_and(known, LOW, out=spare[1 - turn][: len(known)])
+        known += np.take(ahead, at_now, out=moves[: len(known)], mode="clip")
         place[active] = new
-    return bwt, prefix, owner, size_of
+
+    bwt, spot = np.zeros(size, np.uint8), known & LOW
+    bwt[spot] = known >> PLACE_BITS
+    longer = np.empty(size, np.int64)  # the place of the suffix that is a symbol longer
+    longer[spot] = n + np.arange(len(known))
+    owner, size_of, place = np.arange(size, dtype=np.int32), np.zeros(size, np.int32), np.arange(n)
+    for column in range(1, longest + 1):
+        active = np.flatnonzero(lengths >= column)
+        place[active] = longer[place[active]]
+        owner[place[active]], size_of[place[active]] = active, column
+    return bwt, prefix[:size], owner, size_of
 
 
 def later_windows(window: int):

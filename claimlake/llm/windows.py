@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.llm.common import _arrow_schema, stored
-from claimlake.llm.words import mix, running, slice_hash, words_of
+from claimlake.llm.words import every_slice_hash, mix, running, slice_hash, words_of
 
 SECOND = 0xC2B2AE3D27D4EB4F | 1
 CHUNK = 1 << 19  # units handled at once; longer documents are cut with an overlap of one window less a unit
@@ -82,9 +82,8 @@ def segments(pieces: list[tuple[int, int, np.ndarray]], kind: Kind) -> dict[str,
     units = np.concatenate([p[2] for p in pieces])
     begin = np.cumsum(sizes) - sizes
     sums = running(units)
-    spots = np.arange(len(units) - gram + 1)
-    grams = slice_hash(sums, spots, spots + gram)
-    keys = (grams & ~np.uint64((1 << 24) - 1)) | spots.astype(np.uint64)
+    grams = every_slice_hash(sums, gram)
+    keys = (grams & ~np.uint64((1 << 24) - 1)) | np.arange(len(grams), dtype=np.uint64)
     anchor = (_least(keys, window - gram + 1) & np.uint64((1 << 24) - 1)).astype(np.int64)
     owner = np.repeat(np.arange(len(pieces)), sizes - window + 1)
     start = np.arange(len(owner)) + np.repeat(begin - (np.cumsum(sizes - window + 1) - (sizes - window + 1)), sizes - window + 1)

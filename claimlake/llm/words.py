@@ -51,6 +51,15 @@ def slice_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray, base: int =
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def every_slice_hash(sums: np.ndarray, width: int, base: int = BASE) -> np.ndarray:
+    """``slice_hash`` of all slices of ``width``."""
+    _, down = powers(len(sums), base)
+    out = sums[width:] - sums[:-width]
+    out *= down[: len(out)]
+    out += np.uint64(width * 0xD6E8FEB86659FD93 % 2**64)
+    return mix(out)
+
+
 @dataclass
 class Words:
     data: np.ndarray  # bytes of all texts, a line feed between them
