@@ -6,7 +6,6 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,13 +94,16 @@ def arrow_extend(frame: DataFrame, inputs: list[str], work: Callable[[dict], dic
     return frame.mapInArrow(loop, StructType([*kept, *fields]))
 
 
-def arrow_partitions(frame: DataFrame, work: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
-    """As ``arrow_map``, but ``work`` gets the whole iterator of a partition's batches and yields batches."""
+def arrow_partitions(frame: DataFrame, work: Callable[[Iterator[dict]], Iterator[dict]], schema: str, cut: bool = False) -> DataFrame:
+    """As ``arrow_map``, but ``work`` gets the whole iterator of a partition's batches and yields batches.
+
+    The batches come as Spark makes them, or ``cut`` into pieces as those of ``arrow_map``.
+    """
     names = frame.columns
     target = _arrow_schema(frame.sparkSession, schema)
 
     def loop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dicts = ({n: batch.column(i).to_pylist() for i, n in enumerate(names)} for batch in batches)
+        dicts = ({n: batch.column(i).to_pylist() for i, n in enumerate(names)} for batch in (_pieces(batches) if cut else batches))
         for out in work(dicts):
             yield pa.RecordBatch.from_pydict(out, schema=target)
 
@@ -121,6 +123,8 @@ def numbered_ranges(frame: DataFrame, key: str, parts: int, descending: bool = F
     The bounds are quantiles of ``key`` (at most ``parts`` numbers on the driver), so one row always gets the same
     range however often it is computed; rows of one key share a range, and null keys have the last one.
     """
+    from pyspark.ml.feature import Bucketizer  # only the driver has a use for it: 32 MB for each Python worker
+
     number = F.col(key).cast("double")
     steps = [i / parts for i in range(1, parts)]
     found = frame.select(number.alias("key")).where("key IS NOT NULL").approxQuantile("key", steps, 0.2 / parts) if steps else []

@@ -134,7 +134,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
             full = np.flatnonzero(total)
             yield {"lang": [name] * len(full), "bin": full.astype(np.int32), "n": total[full]}
 
-    counted = arrow_partitions(labelled, count, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
+    counted = arrow_partitions(labelled, count, "lang string, bin int, n long", cut=True).groupBy("lang", "bin").agg(F.sum("n").alias("n"))
     counts: dict[str, np.ndarray] = {}
     for name, spot, n in counted.collect():
         counts.setdefault(name, np.zeros(BUCKETS))[spot] = n
