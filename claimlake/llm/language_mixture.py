@@ -124,7 +124,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     def count(batches: Iterator[dict]) -> Iterator[dict]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
-            for at in slices([len(t or "") for t in batch["text"]], 300_000):
+            for at in slices([len(t or "") for t in batch["text"]], 100_000):
                 owner, bins, _ = trigram_bins(batch["text"][at])
                 names = np.array(batch["lang"][at], dtype=object)
                 for name in set(batch["lang"][at]):
@@ -147,7 +147,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", rounds: int = 8,
 
     def work(batch: dict) -> dict:
         main, score, chosen = [], [], []
-        for at in slices([len(t or "") for t in batch[text]], 300_000):
+        for at in slices([len(t or "") for t in batch[text]], 100_000):
             m, s, c = shared.value.infer(batch[text][at], rounds, penalty)
             main += m
             score += s
