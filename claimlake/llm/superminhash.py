@@ -10,8 +10,9 @@ Pairs are not expanded. Documents with equal sets are one representative. Every
 bucket's smallest member on full sets. Where the members of a bucket then lie in several components, pairs across components
 are compared too, but for those that are ruled out by the triangle inequality of the Jaccard distance (via the smallest
 member), by their set sizes, or by how many of their shingles any other such document has at all: heavily edited copies of one
-text have too many of their own. One bit and one byte of every signature component rule out pairs five standard deviations
-below the threshold. Members of a bucket's largest component are not paired with each other. So all links that sharing a bucket can give
+text have too many of their own. Of what is left, parity bits of the sets bound from below how many shingles two documents do
+not share, which rules out nearly all pairs below the threshold unless the sets have thousands of shingles. One bit and one byte
+of every signature component rule out pairs five standard deviations below it. Members of a bucket's largest component are not paired with each other. So all links that sharing a bucket can give
 are in the components, though not all are listed.
 
 Defined results: a null text, an empty one and one of blanks have an empty set and are linked with nothing. Rows of one
@@ -105,6 +106,17 @@ def least_alike(components_: int, similarity: float, deviations: float = 5.0) ->
     return int(components_ * similarity - deviations * (components_ * similarity * (1 - similarity)) ** 0.5)
 
 
+def parity_bits(elements: np.ndarray, longs: int) -> np.ndarray:
+    """For each of 64 * ``longs`` bits, whether an odd number of elements meets it.
+
+    An element that only one of two sets has flips one bit, so the bits in which the sets differ are at most the elements they
+    do not share.
+    """
+    spots = (mix(elements ^ GOLD) % np.uint64(64 * longs)).astype(np.int64)
+    odd = (np.bincount(spots, minlength=64 * longs) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def summaries(docs: DataFrame, width: int, bands: int, rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n, s1, s2, buckets, bits, octets): size and 128-bit digest of each set, its bucket in each band, and one bit and
     one byte of each signature component."""
@@ -135,19 +147,29 @@ def texts_of(ids: DataFrame, docs: DataFrame, key: str, text: str, most_broadcas
     return texts.groupBy("id").agg(F.min("text").alias("text"))
 
 
-def common_shingles(ids: DataFrame, docs: DataFrame, width: int, key: str, text: str) -> DataFrame:
-    """(id, common): how many of a document's shingles any other document of ``ids`` has too."""
+def common_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """(id, common): how many of a document's shingles any other document of ``texts`` (id, text) has too."""
 
     def work(batch: dict) -> dict:
         sets = [s for at in slices([len(t or "") for t in batch["text"]], 500_000) for s in shingle_sets(batch["text"][at], width)]
         ids_ = np.repeat(np.array(batch["id"], np.int64), [len(s) for s in sets])
         return {"id": ids_, "shingle": np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)}
 
-    rows = stored(arrow_map(texts_of(ids, docs, key, text), work, "id long, shingle long"), "shingles")
+    rows = stored(arrow_map(texts, work, "id long, shingle long"), "shingles")
     several = rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1").select("shingle")
     return rows.join(several, "shingle").groupBy("id").agg(F.count("*").alias("common"))
 
 
+def parities(texts: DataFrame, width: int, longs: int = 64) -> DataFrame:
+    """(id, parity): the parity bits of each document's set."""
+
+    def work(batch: dict) -> dict:
+        sets = (s for at in slices([len(t or "") for t in batch["text"]], 500_000) for s in shingle_sets(batch["text"][at], width))
+        return {"id": batch["id"], "parity": [parity_bits(s, longs) for s in sets]}
+
+    return arrow_map(texts, work, "id long, parity array<long>")
+
+
 def confirm(pairs: DataFrame, docs: DataFrame, width: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(a, b, common, union_size) of (a, b) id pairs, from the full sets of both texts."""
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
@@ -217,8 +239,10 @@ def near_duplicates(
     apart = apart.join(judged.select(F.col("a").alias("rep"), F.col("b").alias("centre"), (1 - F.col("common") / F.col("union_size")).alias("far")), ["rep", "centre"], "left")
     apart = apart.withColumn("far", F.coalesce("far", F.lit(0.0))).withColumn("ring", F.floor(F.col("far") / reach).cast("int"))
     apart = stored(apart.where("rep <> centre").select("band", "bucket", "rep", "n", "root", "far", "ring", (F.col("root") == F.col("main")).alias("in_main")), "apart")
-    shared_part = common_shingles(apart.select(F.col("rep").alias("id")), docs, width, key, text).withColumnRenamed("id", "rep")
+    texts = stored(texts_of(apart.select(F.col("rep").alias("id")), docs, key, text), "texts")
+    shared_part = common_shingles(texts, width).withColumnRenamed("id", "rep")
     apart = apart.join(shared_part, "rep").where(f"100 * common >= {percent} * n")
+    apart = apart.join(parities(texts, width).withColumnRenamed("id", "rep"), "rep")
     apart = stored(apart.join(reps.select("rep", "bits", "octets", F.transform("buckets", lambda b: b.bitwiseAND(0x7FFFFFFF).cast("int")).alias("marks")), "rep"), "linkable")
     small = apart.where("NOT in_main").withColumn("ring", F.explode(F.array(F.col("ring") - 1, F.col("ring"), F.col("ring") + 1)))
     x, y = small.alias("x"), apart.alias("y")
@@ -230,6 +254,9 @@ def near_duplicates(
     unlike = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(longs)), F.lit(0))
     near &= unlike <= most_unlike(bands * rows, percent / 100)
     near &= (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n")) & (F.col("y.in_main") | (F.col("x.rep") < F.col("y.rep")))
+    # exact: the bits that differ are at most the shingles that only one of the two has
+    odd = F.aggregate(F.zip_with("x.parity", "y.parity", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, n: total + n)
+    near &= (100 + percent) * odd <= (100 - percent) * (F.col("x.n") + F.col("y.n"))
     alike = F.size(F.filter(F.zip_with("x.octets", "y.octets", lambda a, b: a == b), lambda same: same))
     near &= alike >= least_alike(bands * rows, percent / 100)
     # a pair that shares several buckets is made in the first of them
