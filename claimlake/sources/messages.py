@@ -77,10 +77,13 @@ def parse_json(df: DataFrame, schema: T.StructType, clock: Column | None = None)
     # Broken text and a field of the wrong type look alike to the parse; only such texts are parsed once more to tell them apart.
     unsure = F.col("_parsed")[BROKEN].isNotNull()
     no_object = F.col("_parsed").isNull() | ~F.ltrim(raw).startswith("{") | F.when(unsure, F.try_parse_json(raw).isNull()).otherwise(False)
+    judged = df.withColumns({**missing, "_parsed": F.from_json(raw, fields, {"columnNameOfCorruptRecord": BROKEN})}).withColumn(
+        "_parse_error", F.when(raw.isNull(), "null_value").when(no_object, "invalid_json")
+    )
+    # A filter on what was parsed does not cross a generator; pushed below the parse it would repeat it for every mention.
+    once = judged.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in judged.columns]))))
     return (
-        df.withColumns({**missing, "_parsed": F.from_json(raw, fields, {"columnNameOfCorruptRecord": BROKEN})})
-        .withColumn("_parse_error", F.when(raw.isNull(), "null_value").when(no_object, "invalid_json"))
-        .withColumn("_parsed", F.when(F.col("_parse_error").isNull(), F.col("_parsed")))
+        once.withColumn("_parsed", F.when(F.col("_parse_error").isNull(), F.col("_parsed")))
         .select(
             *[F.col("_parsed")[name].alias(name) for name in schema.names],
             "_ingest_ts", *[c for c in MESSAGE_AUDIT if c != "_ingest_ts"], "_raw_value", "_parse_error",
