@@ -9,11 +9,11 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimlake.functions.casting import retype, safe_double
+from claimlake.operators.forest import ForestRegressor
 from claimlake.operators.latest import first_and_last, keep_one
 
 # ---- fixed values: the columns of the feature table and how the model uses them ----
@@ -98,9 +98,8 @@ def severity_pipeline(trees: int = 100, seed: int = 42, depth: int = 12) -> Pipe
             StringIndexer(inputCols=list(CATEGORICAL), outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"),
             OneHotEncoder(inputCols=indexed, outputCols=encoded, handleInvalid="keep", dropLast=True),
             VectorAssembler(inputCols=[*NUMERIC, *encoded], outputCol="features"),
-            RandomForestRegressor(
-                featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, numTrees=trees, seed=seed, maxDepth=depth,
-                featureSubsetStrategy="all",
+            ForestRegressor(
+                featuresCol="features", labelCol=LABEL, predictionCol=PREDICTION, keyCol="claim_id", numTrees=trees, seed=seed, maxDepth=depth
             ),
         ]
     )
