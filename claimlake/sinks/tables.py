@@ -85,7 +85,7 @@ def write_quarantine(df: DataFrame, target: str, **options) -> int:
 
 
 def list_layer_tables(spark: SparkSession, database: str, prefix: str = "bronze_") -> list[str]:
-    return sorted(t.name for t in spark.catalog.listTables(database) if t.name.startswith(prefix))
+    return sorted(t.name for t in spark.catalog.listTables(database) if t.name.startswith(prefix) and not t.isTemporary)
 
 
 def ingest_folder(
